@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.columns import ordinal
+from millrace.functions.columns import ordinal, safe_ratio
 from millrace.operators.running import running_total
 from millrace.sources.writers import one_per_key
 
@@ -98,3 +98,14 @@ def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
 def distinct_ordered(df: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values with the place they were first seen at, in that order."""
     return df.groupBy(value).agg(F.min(order).alias("first_seen")).orderBy("first_seen", value)
+
+
+def step_change(df: DataFrame, keys: Sequence[str], order: str, value: str, scale: int = 6) -> DataFrame:
+    """Previous and first value along an order with the change and its percentage.
+
+    Meant for reduced tables such as one row per day and key.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    out = df.withColumns({"previous": F.lag(value).over(w), "first": F.first(value).over(w)})
+    change = F.col(value) - F.col("previous")
+    return out.withColumns({"change": change, "change_pct": safe_ratio(change * 100.0, "previous", scale)})

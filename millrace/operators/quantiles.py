@@ -16,6 +16,7 @@ but the values, so a recomputed stage gives the same split.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,11 +26,11 @@ _COARSE_PER_E = 64
 _PARTS = 4096
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[k])
-    return cond
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null; the right side's copies are dropped."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _narrow(counts: DataFrame, within: Sequence[str], at: Column | str) -> DataFrame:
@@ -57,21 +58,18 @@ def _select_ranks(v: DataFrame, by: list[str], probs: Sequence[float], few_group
     target = _narrow(bins, by, "_bin").drop("_n")
 
     # 2. equal parts of the wanted bins
-    t1 = hint(target.select(*[F.col(c) for c in [*by, "_bin", "_lo", "_hi"]]))
+    bin_ = [*by, "_bin"]
+    inside = _meet(v, hint(target.select(*bin_, "_lo", "_hi")), bin_)
     width = F.col("_hi") - F.col("_lo")
     part = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _PARTS), F.lit(_PARTS - 1))).otherwise(F.lit(0))
-    inside = v.join(t1, _same(v, t1, [*by, "_bin"])).select(*[v[c] for c in [*by, "_bin"]], "_v", part.cast("int").alias("_part"))
-    parts = inside.groupBy(*by, "_bin", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    t2 = target.select(*by, "_bin", "_total", "_want", "_skip")
-    parts = parts.join(t2, _same(parts, t2, [*by, "_bin"])).select(*[parts[c] for c in parts.columns], "_total", "_want", "_skip")
-    target = _narrow(parts, [*by, "_bin"], "_part").drop("_n")
+    inside = inside.select(*bin_, part.cast("int").alias("_part"), "_v")
+    parts = inside.groupBy(*bin_, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    target = _narrow(_meet(parts, target.select(*bin_, "_total", "_want", "_skip"), bin_), bin_, "_part").drop("_n")
 
     # 3. the values of the wanted parts
-    t3 = hint(target.select(*by, "_bin", "_part"))
-    cell = [*by, "_bin", "_part"]
-    values = inside.join(t3, _same(inside, t3, cell), "left_semi").groupBy(*cell, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    values = values.join(target, _same(values, target, cell)).select(*[values[c] for c in values.columns], "_total", "_want", "_skip")
-    found = _narrow(values, cell, "_v")
+    cell = [*bin_, "_part"]
+    values = _meet(inside, hint(target.select(*cell)), cell, "left_semi").groupBy(*cell, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    found = _narrow(_meet(values, target, cell), cell, "_v")
 
     pairs = found.select(*by, "_total", F.explode("_want").alias("_r"), "_v")
     at = pairs.groupBy(*by).agg(
