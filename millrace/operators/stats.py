@@ -17,8 +17,8 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Numeric columns as (column, value) rows."""
-    cols = [F.col(c).cast("double").alias(c) for c in columns]
+    """Numeric columns as (column, value) rows; adding 0.0 turns -0.0 into 0.0."""
+    cols = [(F.col(c).cast("double") + 0.0).alias(c) for c in columns]
     return df.select(*keys, *cols).unpivot(list(keys), list(columns), "column", "value")
 
 

@@ -12,9 +12,9 @@ FLAGS = ["R", "A", "N"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-@query("ag_01_group_mean", f"select event_type, cast(hour(ts) as int) as hour, {rnd('avg(value)')} as mean from events group by all")
+@query("ag_01_group_mean", f"select event_type, cast(hour(ts) as int) as hour, {rnd('avg(value)', 8)} as mean from events group by all")
 def _(t: Tables):
-    return A.group_mean(t.events.withColumn("hour", F.hour("ts")), ["event_type", "hour"], "value")
+    return A.group_mean(t.events.withColumn("hour", F.hour("ts")), ["event_type", "hour"], "value", scale=8)
 
 
 @query("ag_02_group_sum", f"select l_suppkey, l_returnflag, {rnd('sum(l_extendedprice)', 2)} as total from lineitem group by all")

@@ -21,7 +21,7 @@ def hourly_fact(events: DataFrame, ts: str) -> DataFrame:
     return events.withColumns({"hour": F.hour(ts), "day_type": day_type})
 
 
-def level_means(fine: DataFrame, keys: Sequence[str], split: str, label: str, scale: int = 6) -> DataFrame:
+def level_means(fine: DataFrame, keys: Sequence[str], split: str, label: str, scale: int = 8) -> DataFrame:
     """Mean per keys and per value of ``split``, and over all of them under ``label``.
 
     ``fine`` carries ``_n`` and ``_s`` at a finer level, so no fact row is read again.
@@ -51,7 +51,7 @@ def build_marts(
         "area_hours": level_means(fine, [area, "hour"], "day_type", label),
         "place_hours": level_means(fine, [area, place, "hour"], "day_type", label),
         "categories": totals,
-        "time_pattern": by_hour.select(area, place, "hour", "n", F.bround(safe_ratio("_s", "n"), 6).alias("mean")),
+        "time_pattern": by_hour.select(area, place, "hour", "n", F.bround(safe_ratio("_s", "n"), 8).alias("mean")),
         "sample": sample_frac(rows, sample_keys, 10),
         "dimension": dim,
     }
