@@ -46,12 +46,18 @@ def search(df: DataFrame, cols: Sequence[str], query: str) -> DataFrame:
 
 
 def melt_split(df: DataFrame, ids: Sequence[str], columns: Sequence[str], pattern: str, parts: Sequence[str], value: str = "value") -> DataFrame:
-    """Wide to long, the column name split into dimensions by the pattern's groups."""
-    if re.compile(pattern).groups < len(parts):
-        raise ValueError("pattern needs one group per part")
-    long = df.unpivot(list(ids), list(columns), "_name", value)
-    names = [F.regexp_extract("_name", pattern, i + 1).alias(p) for i, p in enumerate(parts)]
-    return long.select(*ids, *names, value)
+    """Wide to long, the column name split into dimensions by the pattern's groups.
+
+    Names are split once, here, and enter the plan as constants.
+    """
+    cells = []
+    for c in columns:
+        found = re.search(pattern, c)
+        if not found:
+            raise ValueError(f"{c} does not fit {pattern}")
+        names = [F.lit(found.group(i + 1)).alias(p) for i, p in enumerate(parts)]
+        cells.append(F.struct(*names, F.col(c).alias(value)))
+    return df.select(*ids, F.explode(F.array(*cells)).alias("_cell")).select(*ids, "_cell.*")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

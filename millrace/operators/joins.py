@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.session import spread
 from millrace.sources.writers import one_per_key
 
 
@@ -31,11 +32,13 @@ def lookup(df: DataFrame, key: str, table: DataFrame, value: str, order: Sequenc
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys, list(on), "left_semi")
+    """Rows whose key is in ``keys``; copies of a key are removed before the shuffle."""
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys, list(on), "left_anti")
+    """Rows whose key is not in ``keys``."""
+    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
 def tiered_join(
@@ -106,7 +109,7 @@ def contains_join(
     names = catalogue.select(F.lower(name).alias("gram"), F.col(order).alias("_ord"), *payload).where(F.length("gram") >= min_length)
     names = one_per_key(names, ["gram"], [F.col("_ord").asc()])
     lengths = names.agg(F.sort_array(F.collect_set(F.length("gram")))).scalar()
-    texts = df.select(F.col(key).alias("_k"), F.lower(text).alias("_t"))
+    texts = spread(df.select(F.col(key).alias("_k"), F.lower(text).alias("_t")))
     hits = substrings_of(texts, "_k", "_t", lengths).join(names, "gram")
     first = hits.groupBy("_k").agg(F.min(F.struct("_ord", *payload)).alias("_hit"))
     out = df.join(first, F.col(key) == F.col("_k"), "left")

@@ -75,7 +75,7 @@ def _select_ranks(v: DataFrame, by: list[str], probs: Sequence[float], few_group
     at = pairs.groupBy(*by).agg(
         F.max("_total").alias("_total"),
         F.map_from_entries(F.collect_set(F.struct("_r", "_v"))).alias("_at"),
-    )
+    ).where(F.col("_total").isNotNull())
     out = []
     for place in places:
         low, high = F.element_at("_at", F.floor(place)), F.element_at("_at", F.ceil(place))
@@ -102,7 +102,7 @@ def quantiles(
     by = list(by)
     c = F.col(value) if isinstance(value, str) else value
     v = df.select(*by, c.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if method == "aggregate" or (method == "auto" and fits_one_task(df)):
+    if method == "aggregate" or (method == "auto" and fits_one_task(v)):
         q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
         res = v.groupBy(*by).agg(q) if by else v.agg(q).where(F.col("_q").isNotNull())
     else:

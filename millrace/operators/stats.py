@@ -24,17 +24,22 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), scale: int = 6, **kw) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column (and key)."""
-    long = long_form(with_keys(df, keys), columns, keys)
-    by = [*keys, "column"]
-    base = long.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.bround(F.avg("value"), scale).alias("mean"),
-        F.bround(F.stddev_samp("value"), scale).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    rows = with_keys(df, keys).select(*keys, *[(F.col(c).cast("double") + 0.0).alias(c) for c in columns])
+
+    def numbers(c: str) -> list[Column]:
+        return [
+            F.count(c).alias("n"),
+            F.bround(F.avg(c), scale).alias("mean"),
+            F.bround(F.stddev_samp(c), scale).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+        ]
+
+    one = rows.groupBy(*keys).agg(*[F.struct(F.lit(c).alias("column"), *numbers(c)).alias(c) for c in columns])
+    base = one.select(*keys, F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("_s")).select(*keys, "_s.*")
     kw.setdefault("few_groups", not keys)
-    return base.join(quantile_columns(long, "value", QUARTILES, by, scale, **kw), by, "left")
+    by = [*keys, "column"]
+    return base.join(quantile_columns(long_form(rows, columns, keys), "value", QUARTILES, by, scale, **kw), by, "left")
 
 
 def describe_by(df: DataFrame, target: str, columns: Sequence[str], scale: int = 6, **kw) -> DataFrame:
@@ -137,18 +142,11 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFr
 
 def regression_pairs(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFrame:
     """Least-squares line and correlation for every pair x before y."""
-    pairs = list(combinations(columns, 2))
-    fit = [
-        F.struct(
-            F.lit(x).alias("x"),
-            F.lit(y).alias("y"),
-            F.bround(F.regr_slope(y, x), scale).alias("slope"),
-            F.bround(F.regr_intercept(y, x), scale).alias("intercept"),
-            F.bround(F.corr(x, y), scale).alias("r"),
-        )
-        for x, y in pairs
-    ]
-    return df.agg(F.array(*fit).alias("_f")).select(F.explode("_f").alias("c")).select("c.*")
+    pairs = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).alias("u"), F.col(y).alias("v")) for x, y in combinations(columns, 2)]
+    # a row per pair keeps the aggregate small enough for compiled code
+    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    fit = {"slope": F.regr_slope("v", "u"), "intercept": F.regr_intercept("v", "u"), "r": F.corr("u", "v")}
+    return long.groupBy("x", "y").agg(*[F.bround(c, scale).alias(n) for n, c in fit.items()])
 
 
 def welch_t(df: DataFrame, target: Column, columns: Sequence[str], scale: int = 6, alpha: float = 0.05, p_values: bool = True) -> DataFrame:
@@ -179,26 +177,33 @@ def chi2(df: DataFrame, columns: Sequence[str], target: str, scale: int = 6, alp
     """Chi-square test of independence of each column from the target.
 
     With one degree of freedom Yates' correction is applied: each deviation
-    shrinks by up to 0.5. Marginals come from the counted table, and the cells
-    that do not occur are added in closed form, so the full table is never built.
+    shrinks by up to 0.5. Only cells that occur are counted and joined to their
+    marginals. An empty cell adds its expected count, so all empty cells
+    together add n less the expected counts of the others; in a 2 x 2 table all
+    four deviations are equal and the sum of 1 / expected is
+    n * sum(1 / row) * sum(1 / column). The full table is never built.
     """
     cols = [F.col(c).cast("string").alias(c) for c in columns]
     long = df.select(F.col(target).cast("string").alias("_t"), *cols).unpivot(["_t"], list(columns), "column", "level")
     cells = with_keys(long, ["_t", "level"]).groupBy("column", "level", "_t").agg(F.count(F.lit(1)).cast("double").alias("_o"))
     rows = cells.groupBy("column", "level").agg(F.sum("_o").alias("_r"))
     sides = cells.groupBy("column", "_t").agg(F.sum("_o").alias("_c"))
-    # the targets of a column: a handful of classes, so one short array per column
-    dims = sides.groupBy("column").agg(
-        F.sum("_c").alias("n"), F.count(F.lit(1)).alias("_nc"), F.collect_list(F.struct("_t", "_c")).alias("_sides")
-    )
-    levels = rows.groupBy("column").agg(F.count(F.lit(1)).alias("_nr"))
-    frame = rows.join(dims, "column").join(levels, "column").withColumn("_dof", (F.col("_nr") - 1) * (F.col("_nc") - 1))
-    frame = frame.select("column", "level", "_r", "n", "_dof", F.explode("_sides").alias("_s")).select("*", "_s.*")
-    full = frame.join(cells, ["column", "level", "_t"], "left").withColumn("_o", F.coalesce("_o", F.lit(0.0)))
+    whole = rows.groupBy("column").agg(F.sum("_r").alias("n"), F.count(F.lit(1)).alias("_nr"), F.sum(1 / F.col("_r")).alias("_ir"))
+    whole = whole.join(sides.groupBy("column").agg(F.count(F.lit(1)).alias("_nc"), F.sum(1 / F.col("_c")).alias("_ic")), "column")
+    full = cells.join(rows, ["column", "level"]).join(sides, ["column", "_t"]).join(whole, "column")
     e = F.col("_r") * F.col("_c") / F.col("n")
     gap = F.abs(F.col("_o") - e)
-    shrink = F.when(F.col("_dof") == 1, F.least(F.lit(0.5), gap)).otherwise(F.lit(0.0))
-    out = full.groupBy("column").agg(F.max("n").cast("long").alias("n"), F.max("_dof").alias("dof"), F.sum((gap - shrink) * (gap - shrink) / e).alias("_x"))
+    sums = full.groupBy("column").agg(
+        *[F.max(c).alias(c) for c in ["n", "_nr", "_nc", "_ir", "_ic"]],
+        F.sum(gap * gap / e).alias("_seen"),
+        F.sum(e).alias("_e"),
+        F.max(gap).alias("_gap"),
+    )
+    dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
+    shrunk = F.col("_gap") - F.least(F.lit(0.5), F.col("_gap"))
+    yates = shrunk * shrunk * F.col("n") * F.col("_ir") * F.col("_ic")
+    plain = F.col("_seen") + F.greatest(F.col("n") - F.col("_e"), F.lit(0.0))
+    out = sums.select("column", F.col("n").cast("long").alias("n"), dof.alias("dof"), F.when(dof == 1, yates).otherwise(plain).alias("_x"))
     keep = ["column", "n", "dof", F.bround("_x", scale).alias("chi2")]
     if not p_values:
         return out.select(*keep)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.text import WORD, strip_html, strip_non_word, tokens
 from millrace.operators.ordering import top_n_per_group
+from millrace.session import spread
 
 
 def combined_text(columns: Sequence[str]) -> Column:
@@ -26,7 +27,8 @@ def term_counts(
     """Occurrences of each term per document. Tokens of a document sit in one
     partition, so the count is nearly complete before the shuffle."""
     t = F.col(text) if isinstance(text, str) else text
-    words = df.select(*by, F.col(doc).alias("doc"), F.explode(tokens(t, pattern)).alias("term"))
+    texts = spread(df.select(*by, F.col(doc).alias("doc"), t.alias("_t")))
+    words = texts.select(*by, "doc", F.explode(tokens("_t", pattern)).alias("term")).where(F.col("term").isNotNull())
     if stop:
         words = words.where(~F.col("term").isin(list(stop)))
     return words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -50,7 +52,9 @@ def vocabulary(
         terms = terms.join(sizes, by)
     else:
         terms = terms.withColumn("n_docs", sizes.select("n_docs").scalar())
-    terms = terms.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.col("n_docs")))
+    # true for every term: named here (as is the null test above) so that both
+    # uses of the counts have one plan, and the texts are cut and shuffled once
+    terms = terms.where((F.col("_ttf") > 0) & (F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.col("n_docs")))
     if max_features is not None:
         order = [F.desc("_ttf"), F.asc("term")]
         terms = top_n_per_group(terms, by, order, max_features) if by else terms.orderBy(*order).limit(max_features)

@@ -15,7 +15,7 @@ LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def describe_sql(source: str, columns: list[str], key: str = "") -> str:
     parts = []
     for c in columns:
-        v = f"({c} + 0.0)"
+        v = f"({c}::double + 0.0)"
         quart = ", ".join(f"{rnd(f'quantile_cont({v}, {p})')} as {n}" for n, p in [("q1", 0.25), ("median", 0.5), ("q3", 0.75)])
         parts.append(
             f"""select {key + "," if key else ""} '{c}' as "column", count({c}) as n, {rnd(f'avg({v})')} as mean, {rnd(f'stddev_samp({v})')} as std,

@@ -49,6 +49,15 @@ def fits_one_task(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
     return planned_bytes(df) <= limit
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores before CPU-heavy work.
+
+    A file with a single row group is read by one task. Inputs of more than
+    one task's size come in many splits already and are left alone.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if fits_one_task(df) else df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

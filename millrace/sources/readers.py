@@ -9,6 +9,9 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+# The encodings Spark's CSV reader takes.
+NATIVE_ENCODINGS = {"iso-8859-1", "us-ascii", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32"}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder; filters and columns are pushed into the scan."""
@@ -16,8 +19,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header line. A UTF-8 byte-order mark is dropped by the reader."""
-    return spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(path)
+    """CSV with a header line. A UTF-8 byte-order mark is dropped by the reader.
+
+    Other encodings that keep the ASCII characters (such as cp949) are read byte
+    by byte as Latin-1, which can be split and parsed as usual, and the text
+    columns are decoded afterwards.
+    """
+    native = encoding.lower().replace("_", "-") in NATIVE_ENCODINGS
+    rows = spark.read.schema(schema).option("header", True).option("encoding", encoding if native else "ISO-8859-1").csv(path)
+    return rows if native else rows.withColumns({f.name: _decoded(encoding)(f.name) for f in rows.schema if isinstance(f.dataType, T.StringType)})
+
+
+def _decoded(encoding: str):
+    @F.pandas_udf(T.StringType())
+    def decode(s: pd.Series) -> pd.Series:
+        return s.str.encode("latin-1").str.decode(encoding, errors="replace")
+
+    return decode
 
 
 def read_many(spark: SparkSession, sources: Sequence[tuple[str, str | T.StructType]], encoding: str = "UTF-8") -> DataFrame:
