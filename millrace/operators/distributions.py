@@ -8,6 +8,7 @@ from math import pi, sqrt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.columns import bucketize, col
+from millrace.operators.joins import salted_join
 
 
 def histogram(
@@ -74,7 +75,7 @@ def kde(df: DataFrame, value: str, points: int = 50, by: str | None = None, scal
     sizes = sizes.withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))).where(F.col("_h") > 0)
     counts = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     if keys:
-        counts = counts.join(sizes, keys)
+        counts = salted_join(counts, sizes, keys, "_v")
     else:
         one = sizes.select(F.struct("_n", "_h")).scalar()
         counts = counts.withColumn("_one", one).select("*", "_one._n", "_one._h").where(F.col("_h") > 0)

@@ -31,6 +31,22 @@ def lookup(df: DataFrame, key: str, table: DataFrame, value: str, order: Sequenc
     return df.join(unique, [key], "left")
 
 
+SALTS = 16
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salt_by: str) -> DataFrame:
+    """Inner join of many rows with a table of one row per key, hot keys split.
+
+    The left rows of a key are dealt to ``SALTS`` tasks by the hash of a column
+    that varies within the key; the right row is copied to each of them. Unlike
+    the adaptive skew split, this also works when the result is grouped by the
+    same key straight after.
+    """
+    a = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return a.join(b, [*on, "_salt"]).drop("_salt")
+
+
 def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``keys``; copies of a key are removed before the shuffle."""
     return df.join(keys.select(*on).distinct(), list(on), "left_semi")

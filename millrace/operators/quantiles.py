@@ -20,14 +20,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.operators.joins import SALTS
 from millrace.session import fits_one_task
 
 _COARSE_PER_E = 64
 _PARTS = 4096
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on keys that may be null; the right side's copies are dropped."""
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salted: bool = False) -> DataFrame:
+    """Join on keys that may be null; the right side's copies are dropped.
+
+    ``salted`` deals the values of a key out to several tasks.
+    """
+    if salted:
+        left = left.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return _meet(left, right, [*keys, "_salt"], how).drop("_salt")
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
@@ -45,12 +53,17 @@ def _narrow(counts: DataFrame, within: Sequence[str], at: Column | str) -> DataF
 
 
 def _select_ranks(v: DataFrame, by: list[str], probs: Sequence[float], few_groups: bool) -> DataFrame:
-    hint = F.broadcast if few_groups or not by else (lambda d: d)
+    # A bounded number of groups has a bounded number of targets (two per wanted
+    # quantile), which are broadcast: the rows are scanned again, never shuffled.
+    # Otherwise equal values are counted first, and a group's values are salted.
+    bounded = few_groups or not by
+    hint = F.broadcast if bounded else (lambda d: d)
+    v = v.withColumn("_c", F.lit(1).cast("long")) if bounded else v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     scaled = F.signum("_v") * F.log1p(F.abs(F.col("_v")))
     v = v.withColumn("_bin", F.floor(scaled * _COARSE_PER_E))
 
     # 1. coarse bins: at most about 90,000 per group over the whole double range
-    bins = v.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    bins = v.groupBy(*by, "_bin").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     whole = Window.partitionBy(*by)
     places = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
     ranks = F.array_distinct(F.array(*[f(p) for p in places for f in (F.floor, F.ceil)]))
@@ -59,16 +72,16 @@ def _select_ranks(v: DataFrame, by: list[str], probs: Sequence[float], few_group
 
     # 2. equal parts of the wanted bins
     bin_ = [*by, "_bin"]
-    inside = _meet(v, hint(target.select(*bin_, "_lo", "_hi")), bin_)
+    inside = _meet(v, hint(target.select(*bin_, "_lo", "_hi")), bin_, salted=not bounded)
     width = F.col("_hi") - F.col("_lo")
     part = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _PARTS), F.lit(_PARTS - 1))).otherwise(F.lit(0))
-    inside = inside.select(*bin_, part.cast("int").alias("_part"), "_v")
-    parts = inside.groupBy(*bin_, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    inside = inside.select(*bin_, part.cast("int").alias("_part"), "_v", "_c")
+    parts = inside.groupBy(*bin_, "_part").agg(F.sum("_c").alias("_n"))
     target = _narrow(_meet(parts, target.select(*bin_, "_total", "_want", "_skip"), bin_), bin_, "_part").drop("_n")
 
     # 3. the values of the wanted parts
     cell = [*bin_, "_part"]
-    values = _meet(inside, hint(target.select(*cell)), cell, "left_semi").groupBy(*cell, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = _meet(inside, hint(target.select(*cell)), cell, "left_semi", not bounded).groupBy(*cell, "_v").agg(F.sum("_c").alias("_n"))
     found = _narrow(_meet(values, target, cell), cell, "_v")
 
     pairs = found.select(*by, "_total", F.explode("_want").alias("_r"), "_v")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.columns import bucketize, safe_ratio
 from millrace.functions.pvalues import chi2_pvalue, t_pvalue
 from millrace.operators.aggregates import describe_categorical, group_mode, null_report, with_keys
+from millrace.operators.joins import salted_join
 from millrace.operators.quantiles import quantile_columns, quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -82,7 +83,7 @@ def advanced_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int =
     key = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
     mode = group_mode(base.withColumn("_k", key), "_k", value, "mode")
     fences = _fences(base, value, keys, **kw)
-    outliers = _against_fences(base, value, keys, fences).groupBy(*keys).agg(F.count_if("_out").alias("outliers"))
+    outliers = _against_fences(base, value, keys, fences).groupBy(*keys).agg(F.sum(F.when(F.col("_out"), F.col("_c")).otherwise(0)).alias("outliers"))
     out = stats.join(span, list(keys)).join(fences, list(keys)).join(outliers, list(keys))
     out = out.withColumn("_k", key).join(mode, ["_k"]).drop("_k")
     return out.withColumns({c: F.bround(c, scale) for c in ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]})
@@ -95,8 +96,9 @@ def _fences(df: DataFrame, value: str, keys: Sequence[str], **kw) -> DataFrame:
 
 
 def _against_fences(df: DataFrame, value: str, keys: Sequence[str], fences: DataFrame) -> DataFrame:
-    """Rows with the flag ``_out``; the fences are one row per group."""
-    joined = df.select(*keys, value).join(fences.select(*keys, "lower_fence", "upper_fence"), list(keys))
+    """Distinct values with their count ``_c`` and the flag ``_out``; the fences are one row per group."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    joined = salted_join(counts, fences.select(*keys, "lower_fence", "upper_fence"), keys, value)
     return joined.withColumn("_out", (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence")))
 
 
@@ -111,7 +113,7 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int = 6, **
         F.max(value).alias("max"),
         F.min(inner).alias("whisker_low"),
         F.max(inner).alias("whisker_high"),
-        F.count_if("_out").alias("outliers"),
+        F.sum(F.when(F.col("_out"), F.col("_c")).otherwise(0)).alias("outliers"),
     )
     quart = fences.select(*keys, *[F.bround(c, scale).alias(c) for c in QUARTILES])
     return ends.join(quart, list(keys))

@@ -128,7 +128,7 @@ def test_melt_rows(spark, folder):
 def test_tfidf_rows_have_length_one_and_one_shuffle_of_tokens(spark, folder):
     docs = Tables(spark, folder).documents
     w = K.tfidf(docs, "doc_id", "text", min_df=2)
-    lengths = [r[0] for r in w.groupBy("doc").agg(F.sqrt(F.sum(F.col("weight") ** 2))).collect()]
+    lengths = [r[1] for r in w.groupBy("doc").agg(F.sqrt(F.sum(F.col("weight") ** 2))).collect()]
     assert lengths and all(abs(x - 1) < 1e-9 for x in lengths)
     w.collect()
     assert "ReusedExchange" in plan(w)
