@@ -26,7 +26,7 @@ def test_chi2_table():
 
 def skewed(n=4000):
     rng = np.random.default_rng(7)
-    v = np.concatenate([rng.lognormal(3, 2, n), -rng.lognormal(0, 3, n // 2), np.full(n, 5.0), [0.0, -0.0, 1e300, -1e300, 1e-300]])
+    v = np.concatenate([rng.lognormal(3, 2, n), -rng.lognormal(0, 3, n // 2), np.full(n, 5.0), np.exp(-rng.uniform(2, 700, 300)), [5e-324, 0.0, -0.0, 1e300, -1e300, 1e-300]])
     g = np.where(np.arange(len(v)) % 3 == 0, "hot", np.char.add("g", (np.arange(len(v)) % 7).astype(str)))
     return [(str(a), float(b)) for a, b in zip(g, v)]
 
