@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.columns import safe_ratio
+from millrace.operators.joins import densify
 from millrace.operators.quantiles import quantile_columns
-from millrace.sources.writers import one_per_key
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -64,14 +64,14 @@ def group_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], scal
     return reduce(lambda a, b: a.join(b, list(keys), "full"), parts)
 
 
-def group_mode(df: DataFrame, key: str, value: str, out: str = "mode") -> DataFrame:
-    """Most frequent non-null value per key, the smallest on ties.
+def group_mode(df: DataFrame, keys: Sequence[str], value: str, out: str = "mode") -> DataFrame:
+    """Most frequent non-null value per group, the smallest on ties.
 
-    Counted per (key, value) first, so no group's values are held in one buffer.
+    Counted per (group, value) first, so no group's values are held in one buffer.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    best = with_keys(counts, [key]).groupBy(key).agg(F.min(F.struct(-F.col("_n"), F.col(value).alias("_v"))).alias("_b"))
-    return best.select(key, F.col("_b._v").alias(out))
+    counts = with_keys(df, [*keys, value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    best = counts.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(value).alias("_v"))).alias("_b"))
+    return best.select(*keys, F.col("_b._v").alias(out))
 
 
 def group_first(df: DataFrame, key: str, value: str, order: Column, out: str = "first") -> DataFrame:
@@ -186,8 +186,6 @@ def source_matrix(sources: Mapping[str, DataFrame], key: str, keys: Sequence) ->
     """Rows per key and source, zero-filled over the listed keys and all sources."""
     parts = [df.select(key).withColumn("source", F.lit(s)) for s, df in sources.items()]
     counts = reduce(lambda a, b: a.unionByName(b), parts).groupBy(key, "source").agg(F.count(F.lit(1)).alias("n"))
-    from millrace.operators.joins import densify
-
     return densify(counts, [key, "source"], {"n": 0}, {key: list(keys), "source": list(sources)})
 
 
@@ -199,8 +197,3 @@ def join_labels(df: DataFrame, keys: Sequence[str], label: str, sep: str = ",",
     """
     unique = with_keys(df, [*keys, label]).select(*keys, label).distinct()
     return unique.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(label)), sep).alias(out))
-
-
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row of each key set in order (keep-first deduplication)."""
-    return one_per_key(df, keys, order)

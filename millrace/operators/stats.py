@@ -80,12 +80,10 @@ def advanced_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int =
     base = with_keys(df, keys).where(F.col(value).isNotNull())
     stats = moments(base, value, keys, "sample", scale)
     span = base.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"))
-    key = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
-    mode = group_mode(base.withColumn("_k", key), "_k", value, "mode")
+    mode = group_mode(base, keys, value)
     fences = _fences(base, value, keys, **kw)
     outliers = _against_fences(base, value, keys, fences).groupBy(*keys).agg(F.sum(F.when(F.col("_out"), F.col("_c")).otherwise(0)).alias("outliers"))
-    out = stats.join(span, list(keys)).join(fences, list(keys)).join(outliers, list(keys))
-    out = out.withColumn("_k", key).join(mode, ["_k"]).drop("_k")
+    out = reduce(lambda a, b: a.join(b, list(keys)), [stats, span, fences, outliers, mode])
     return out.withColumns({c: F.bround(c, scale) for c in ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]})
 
 

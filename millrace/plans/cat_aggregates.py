@@ -77,7 +77,7 @@ def _(t: Tables):
        select l_suppkey, l_quantity as mode from (select *, row_number() over (partition by l_suppkey order by n desc, l_quantity) as rn from c) where rn = 1""",
 )
 def _(t: Tables):
-    return A.group_mode(t.lineitem, "l_suppkey", "l_quantity")
+    return A.group_mode(t.lineitem, ["l_suppkey"], "l_quantity")
 
 
 @query("ag_09_group_first", "select user_id, arg_min(value, event_id) as first from events where event_type <> 'error' group by 1")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C, text as X
-from millrace.operators import cleaning, joins
+from millrace.operators import cleaning, joins, ordering
 from millrace.plans.registry import Tables, query, rnd
 from millrace.session import scratch_path
 from millrace.sources import readers, writers
@@ -467,6 +467,4 @@ def _(t: Tables):
 
 @query("set_02_distinct_ordered", "select p_name, min(p_partkey) as first_seen from part group by p_name")
 def _(t: Tables):
-    from millrace.operators.ordering import distinct_ordered
-
-    return distinct_ordered(t.part, "p_name", "p_partkey")
+    return ordering.distinct_ordered(t.part, "p_name", "p_partkey")

@@ -102,7 +102,7 @@ def test_pareto_and_shares(spark):
 
 def test_group_helpers(spark):
     df = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("a", None, 0), ("b", 3, 1), (None, 1, 1)], "k string, v int, o int")
-    assert {r["k"]: r["mode"] for r in A.group_mode(df, "k", "v").collect()} == {"a": 1, "b": 3}
+    assert {r["k"]: r["mode"] for r in A.group_mode(df, ["k"], "v").collect()} == {"a": 1, "b": 3}
     assert {r["k"]: r["first"] for r in A.group_first(df, "k", "v", F.col("o")).collect()} == {"a": 2, "b": 3}
     assert {r["k"]: r["mean"] for r in A.group_mean(df, ["k"], "v").collect()} == {"a": 1.5, "b": 3.0}
     kept = A.with_keys(df, ["k"])
