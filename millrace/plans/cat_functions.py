@@ -101,7 +101,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     good = F.concat_ws(", ", F.col("c_acctbal").cast("string"), F.col("c_nationkey").cast("string"))
-    text = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("37.5")).when(F.col("c_mktsegment") == "MACHINERY", F.lit("north,south")).otherwise(good)
+    text = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("10.5")).when(F.col("c_mktsegment") == "MACHINERY", F.lit("north,south")).otherwise(good)
     lat, lon = C.lat_lon(text)
     return t.customer.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
 

@@ -107,7 +107,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch_path(t.spark, "features")
     props = F.create_map(F.lit("code"), F.col("c_custkey").cast("string"), F.lit("name"), F.col("c_name"))
-    point = F.struct(F.lit("Point").alias("type"), F.array(F.lit(126.5), F.lit(37.5)).alias("coordinates"))
+    point = F.struct(F.lit("Point").alias("type"), F.array(F.lit(10.5), F.lit(20.5)).alias("coordinates"))
     feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"), point.alias("geometry"))
     # one collection per hundred customers, one collection per line
     docs = t.customer.groupBy(F.floor(F.col("c_custkey") / 100).alias("g")).agg(F.collect_list(feature).alias("features"))
@@ -419,22 +419,23 @@ def _(t: Tables):
     return joins.contains_join(texts, "p_partkey", "text", catalogue, "name", "ord", ["found"])
 
 
-METRIC_SQL = "(select c_nationkey, round_even(avg(c_acctbal), 6) as bal from customer where c_nationkey < 20 group by 1)"
+METRIC_SQL = "(select c_nationkey, round_even(avg(c_acctbal), 6) as bal from customer group by 1)"
 
 
 def _metric(t: Tables):
-    return t.customer.where("c_nationkey < 20").groupBy("c_nationkey").agg(F.bround(F.avg("c_acctbal"), 6).alias("bal"))
+    return t.customer.groupBy("c_nationkey").agg(F.bround(F.avg("c_acctbal"), 6).alias("bal"))
 
 
 def _features(t: Tables):
-    return t.supplier.select("s_suppkey", F.col("s_nationkey").alias("c_nationkey"))
+    # shifted, so that some features have no metric
+    return t.supplier.select("s_suppkey", (F.col("s_nationkey") + 10).alias("c_nationkey"))
 
 
 for _mode, _expr in {"null": "bal", "zero": "coalesce(bal, 0)", "mean": f"{rnd(f'coalesce(bal, (select avg(bal) from {METRIC_SQL}))')}"}.items():
 
     @query(
         f"jn_07_attach_metric_{_mode}",
-        f"select s_suppkey, s_nationkey as c_nationkey, {_expr} as bal from supplier left join {METRIC_SQL} on s_nationkey = c_nationkey",
+        f"select s_suppkey, s_nationkey + 10 as c_nationkey, {_expr} as bal from supplier left join {METRIC_SQL} on s_nationkey + 10 = c_nationkey",
     )
     def _(t: Tables, mode=_mode):
         return joins.attach_metric(_features(t), _metric(t), "c_nationkey", "bal", mode).withColumn("bal", F.bround("bal", 6))

@@ -40,11 +40,11 @@ def test_contains_join_has_no_nested_loop(spark, folder):
 
 
 def test_tiers(spark):
-    cities = spark.createDataFrame([("Seoulsi", "Jung", 5), ("Seoulsi", "Jungnang", 7), ("Sejongsi", "", 2), ("Busan", "Jung", 1), ("Sejongsi", None, 4)], "s string, c string, n int")
-    grid = spark.createDataFrame([("Seoul", "Jung"), ("Seoul", "nang"), ("Sejong", "Sejong-si"), ("Seoul", "Mapo"), ("Busan", "")], "a string, d string")
-    special = F.startswith("a", F.lit("Sejong"))
+    cities = spark.createDataFrame([("Northland", "Mill", 5), ("Northland", "Millbrook", 7), ("Eastshire", "", 2), ("Westham", "Mill", 1), ("Eastshire", None, 4)], "s string, c string, n int")
+    grid = spark.createDataFrame([("North", "Mill"), ("North", "brook"), ("East", "East-all"), ("North", "Ford"), ("West", "")], "a string, d string")
+    special = F.startswith("a", F.lit("East"))
     got = {(r["a"], r["d"]): (r["tier"], r["n"]) for r in J.tiered_join(grid, cities, "a", "d", "s", "c", ["n"], special, prefix=3).collect()}
-    assert got == {("Seoul", "Jung"): (1, 5), ("Seoul", "nang"): (2, 7), ("Sejong", "Sejong-si"): (3, 6), ("Seoul", "Mapo"): (None, 0), ("Busan", ""): (2, 1)}
+    assert got == {("North", "Mill"): (1, 5), ("North", "brook"): (2, 7), ("East", "East-all"): (3, 6), ("North", "Ford"): (None, 0), ("West", ""): (2, 1)}
 
 
 def test_densify_and_its_guard(spark):
@@ -146,10 +146,10 @@ def test_tfidf_by_hand(spark):
 
 
 def test_rules(spark):
-    rules = [R.Rule("jelly", ("Gummy",)), R.Rule("tablet", ("tablet",), r"\d+\s*정")]
-    df = spark.createDataFrame([(1, "GUMMY tablet"), (2, "비타민 60정"), (3, None), (4, "정")], "id int, t string")
-    assert {r["id"]: r["label"] for r in R.classify(df, ["t"], rules, "?").collect()} == {1: "jelly", 2: "tablet", 3: "?", 4: "?"}
-    assert {r["id"]: r["tags"] for r in R.tag(df, ["t"], rules, "?").collect()} == {1: ["jelly", "tablet"], 2: ["tablet"], 3: ["?"], 4: ["?"]}
+    rules = [R.Rule("soft", ("Cotton",)), R.Rule("paper", ("sheet",), r"\d+\s*장")]
+    df = spark.createDataFrame([(1, "COTTON sheet"), (2, "종이 60장"), (3, None), (4, "장")], "id int, t string")
+    assert {r["id"]: r["label"] for r in R.classify(df, ["t"], rules, "?").collect()} == {1: "soft", 2: "paper", 3: "?", 4: "?"}
+    assert {r["id"]: r["tags"] for r in R.tag(df, ["t"], rules, "?").collect()} == {1: ["soft", "paper"], 2: ["paper"], 3: ["?"], 4: ["?"]}
 
 
 def test_exclusions_add_up(spark, folder):
@@ -174,9 +174,9 @@ def test_recommend_equals_greedy_loop(spark):
 
 
 def test_daily_cost(spark):
-    rows = [("비타민 30일분", 3000.0), ("비타민 2개월", 6000.0), ("비타민 60정", 3000.0), ("비타민 5정", 3000.0), ("비타민", 100.0), ("x 0일분 20정", 100.0), ("x", 0.0), ("x", None)]
+    rows = [("tea 30 days", 3000.0), ("tea 2months", 6000.0), ("tea 60 bags", 3000.0), ("tea 5 bags", 3000.0), ("tea", 100.0), ("x 0 days 20 bags", 100.0), ("x", 0.0), ("x", None)]
     df = spark.createDataFrame(rows, "t string, p double")
-    got = [r[0] for r in df.select(R.daily_cost("p", "t", "일분", "개월분|개월", "정|캡슐|포")).collect()]
+    got = [r[0] for r in df.select(R.daily_cost("p", "t", "days", "months pack|months", "bags|tins")).collect()]
     assert got == [100, 100, 100, 100, 3, 10, 0, None]
 
 
@@ -191,10 +191,10 @@ def test_funnel_falls(spark):
 
 
 def test_page_items():
-    html = """<ul><li class="book new" data-no="7"><em class="ico rank"> 1 </em><a href="/x">A &amp; B<b>!</b></a><img src="i.png">
-              <span class="price">1,000</span></li><li class="ad">no</li><li class="book"><a href="/y">C</a></li></ul>"""
-    fields = [("", "", "data-no"), ("em", "rank", "text"), ("a", "", "href"), ("a", "", "text"), ("img", "", "src"), ("span", "price", "text")]
-    assert P.page_items(html, ("li", "book"), fields) == [["7", "1", "/x", "A & B!", "i.png", "1,000"], [None, None, "/y", "C", None, None]]
+    html = """<ul><li class="card new" data-no="7"><em class="big place"> 1 </em><a href="/x">A &amp; B<b>!</b></a><img src="i.png">
+              <span class="price">1,000</span></li><li class="ad">no</li><li class="card"><a href="/y">C</a></li></ul>"""
+    fields = [("", "", "data-no"), ("em", "place", "text"), ("a", "", "href"), ("a", "", "text"), ("img", "", "src"), ("span", "price", "text")]
+    assert P.page_items(html, ("li", "card"), fields) == [["7", "1", "/x", "A & B!", "i.png", "1,000"], [None, None, "/y", "C", None, None]]
     assert P.page_items(None, ("li", ""), fields) == [] and P.page_items("<p>", ("li", ""), fields) == []
 
 
@@ -215,11 +215,11 @@ def test_merge(spark):
 
 
 def test_csv_with_a_byte_order_mark_and_other_encodings(spark, tmp_path):
-    (tmp_path / "bom.csv").write_bytes("﻿k,v\n서울,1\n".encode())
-    (tmp_path / "kr.csv").write_bytes("k,v\n서울,2\n\"똠,방\",3\n,4\n".encode("cp949"))
+    (tmp_path / "bom.csv").write_bytes("﻿k,v\n한글,1\n".encode())
+    (tmp_path / "kr.csv").write_bytes("k,v\n한글,2\n\"똠,방\",3\n,4\n".encode("cp949"))
     schema = "k string, v int"
-    assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "bom.csv"), schema).collect()] == [("서울", 1)]
-    assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "kr.csv"), schema, "cp949").collect()] == [("서울", 2), ("똠,방", 3), (None, 4)]
+    assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "bom.csv"), schema).collect()] == [("한글", 1)]
+    assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "kr.csv"), schema, "cp949").collect()] == [("한글", 2), ("똠,방", 3), (None, 4)]
 
 
 def test_zip_of_several_members(spark, tmp_path):
@@ -235,9 +235,9 @@ def test_zip_of_several_members(spark, tmp_path):
 
 
 def test_geojson(spark, tmp_path):
-    (tmp_path / "f.json").write_text('{"type":"FeatureCollection",\n"features":[{"type":"Feature","properties":{"code":"11","name":"종로"},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
+    (tmp_path / "f.json").write_text('{"type":"FeatureCollection",\n"features":[{"type":"Feature","properties":{"code":"11","name":"가나"},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     row = readers.read_features(spark, str(tmp_path / "f.json")).first()
-    assert row["properties"] == {"code": "11", "name": "종로"} and row["coordinates"] == "[1,2]"
+    assert row["properties"] == {"code": "11", "name": "가나"} and row["coordinates"] == "[1,2]"
 
 
 def test_json_keeps_empty_and_broken_records(spark):
