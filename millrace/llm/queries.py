@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import token_files
+from millrace.llm import near_dedup, token_files
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op1_near_duplicates")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
