@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near_dedup, token_files
+from millrace.llm import decontaminate, near_dedup, token_files
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
 
+@query("op7_benchmark_passages")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
