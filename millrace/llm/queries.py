@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, near_dedup, quality, token_files
+from millrace.llm import decontaminate, near_dedup, quality, secrets, token_files
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
 
+@query("op2_secrets")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digest(secrets.secrets(read_table(spark, folder, "documents")))
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))

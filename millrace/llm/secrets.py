@@ -1,0 +1,147 @@
+"""Secrets in texts: fixed forms, and random strings by two character Markov models.
+
+Runs of identifier characters are scored by the log-likelihood ratio of two
+first-order Markov models, one of random strings and one of ordinary
+identifiers. The labelled samples come from the corpus itself: values inside the
+fixed forms are random strings, words outside of them are ordinary. A run whose
+ratio exceeds ``LOG_ODDS`` becomes a span of kind ``random`` unless it overlaps a
+fixed form. All steps are built-in expressions.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from millrace.llm.shared import only
+
+# The forms, in the order in which equal starts are listed.
+FORMS = {
+    "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]{24,}",  # equal to runs of [0-9a-f]+ of 24 and more
+}
+LEAST = {"assign": 6, "access": 20, "hex": 24}
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+RUN = r"[A-Za-z0-9+/_=-]{16,}"
+ORDINARY = r"[A-Za-z_-]{6,}"
+SAMPLE = 20_000
+LOG_ODDS = 14.0  # one run in a million is taken to be a secret
+SIDE = len(ALPHABET) + 1
+SPANS = "array<struct<start:long,end:long,value:string>>"
+
+
+def _all(text: Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def _with_spans(d: DataFrame, name: str, pattern: str, group: int = 0) -> DataFrame:
+    """Adds ``name``: start, end (code points) and value of all matches, leftmost and non-overlapping.
+
+    The gaps between the matches give the places; a text without a match costs one search.
+    """
+    text, found = F.col("text"), F.col("text").rlike(pattern)
+    d = d.withColumns({
+        "_whole": F.when(found, _all(text, pattern)), "_value": F.when(found, _all(text, pattern, group)),
+        "_gaps": F.when(found, F.split(text, pattern, -1)),
+    })
+    empty = F.array().cast(SPANS)
+
+    def step(acc: Column, i: Column) -> Column:
+        start = acc["at"] + F.length(F.get("_gaps", i))
+        end = start + F.length(F.get("_whole", i))
+        span = F.struct(start.alias("start"), end.alias("end"), F.get("_value", i).alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    begin = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+    spans = F.aggregate(F.sequence(F.lit(0), F.size("_whole") - 1), begin, step, lambda a: a["out"])
+    return d.withColumn(name, F.when(F.col("_whole").isNotNull(), spans).otherwise(empty)).drop("_whole", "_value", "_gaps")
+
+
+def _with_forms(d: DataFrame) -> DataFrame:
+    for kind, pattern in FORMS.items():
+        d = _with_spans(d, kind, pattern, 2 if kind == "assign" else 0)
+        d = d.withColumn(kind, F.filter(kind, _at_least(LEAST[kind])))
+    return d
+
+
+def _at_least(n: int):
+    return lambda span: F.length(span["value"]) >= n
+
+
+def _symbols(word: Column) -> Column:
+    """Places of the characters in ``ALPHABET``, 0 for others."""
+    return F.transform(F.split(word, ""), lambda c: F.when(c == "", 0).otherwise(F.instr(F.lit(ALPHABET), c)))
+
+
+@dataclass
+class MarkovRatio:
+    """Log ratio of the transition probabilities, by (symbol, next symbol)."""
+
+    weights: list[float]
+
+    def score(self, word: Column) -> Column:
+        table = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+        pairs = _symbols(word)
+        begin = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))  # symbol 0 also stands for the start
+        return F.aggregate(pairs, begin, lambda a, s: F.struct(s.alias("last"), (a["sum"] + F.get(table, a["last"] * SIDE + s)).alias("sum")), lambda a: a["sum"])
+
+
+def _transitions(words: DataFrame) -> list[float]:
+    """Smoothed log probabilities of the next symbol, from the words of ``words``."""
+    moves = words.select(_symbols(F.col("word")).alias("s")).select(F.explode(F.transform("s", lambda x, i: F.when(i > 0, F.get("s", i - 1)).otherwise(0) * SIDE + x)).alias("move"))
+    count = [1.0] * (SIDE * SIDE)
+    for r in moves.groupBy("move").count().collect():
+        count[r.move] += r["count"]
+    totals = [sum(count[k * SIDE : (k + 1) * SIDE]) for k in range(SIDE)]
+    return [math.log(c / totals[k // SIDE]) for k, c in enumerate(count)]
+
+
+def fit_markov(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> MarkovRatio:
+    """Train both models.
+
+    Random strings are the values of all fixed forms, ordinary identifiers the
+    words outside of them in ``SAMPLE`` documents. Documents, and values beyond
+    ``SAMPLE``, are taken in the order of a hash, so the sample does not depend
+    on the order of the rows. Every distinct string counts once.
+    """
+    d = only(docs, doc_id=doc_id, text=text).where("text is not null")
+    form = F.col("text").rlike("|".join(f"(?:{p})" for p in FORMS.values()))
+    values = _with_forms(d.where(form)).select(F.explode(F.concat(*FORMS)).alias("s")).select(F.col("s.value").alias("word")).distinct()
+    ids = d.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
+    some = docs.sparkSession.createDataFrame([(r.doc_id,) for r in ids], "doc_id long")
+    ordinary = d.join(F.broadcast(some), "doc_id", "left_semi").where(~form).select(F.explode(_all(F.col("text"), ORDINARY)).alias("word")).distinct()
+    random, usual = _transitions(values.orderBy(F.xxhash64("word"), "word").limit(SAMPLE)), _transitions(ordinary)
+    return MarkovRatio([a - b for a, b in zip(random, usual)])
+
+
+def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: MarkovRatio | None = None) -> DataFrame:
+    """Per row: doc_id, assign, access, hex, random: the spans of each kind.
+
+    Spans hold start and end in code points, end exclusive, and the value. A null
+    or empty text has none; null ids are carried along; repeated rows get equal
+    results; an empty table gives none; other columns are ignored.
+    """
+    model = model or fit_markov(docs, doc_id, text)
+    d = only(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    d = _with_spans(_with_forms(d), "random", RUN)
+    d = d.withColumn("_base", F.concat(*FORMS))
+    apart = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+    random = F.filter("random", lambda s: s["value"].rlike("[A-Za-z]") & apart(s) & (model.score(s["value"]) > LOG_ODDS))
+    return d.withColumn("random", F.when(F.size("random") > 0, random).otherwise(F.col("random"))).select("doc_id", *FORMS, "random")
+
+
+def secret_digest(found: DataFrame) -> DataFrame:
+    """doc_id, counts of the fixed forms, base_sha256 and all spans as text."""
+    def listed(n: int, kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), F.lit(n).alias("n"), F.concat_ws(":", F.lit(kind), s["start"], s["end"]).alias("s")))
+
+    def joined(*kinds: str) -> Column:
+        return F.concat_ws(",", F.sort_array(F.concat(*(listed(n, k) for n, k in enumerate(kinds))))["s"])
+
+    return found.select(
+        "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in FORMS), F.sha2(joined(*FORMS), 256).alias("base_sha256"),
+        joined(*FORMS, "random").alias("spans"), F.size("random").cast("long").alias("n_random"),
+    )
