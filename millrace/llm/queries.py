@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, near_dedup, quality, secrets, token_files
+from millrace.llm import decontaminate, licenses, line_dedup, near_dedup, quality, secrets, token_files, urls
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,18 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+@query("op4_line_chunks")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, folder, "documents"))
+
+
+@query("op5_licenses")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_matches(read_table(spark, folder, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct(F.col("matches")["name"])), ",")
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_units"), names.alias("licenses"), F.get("matches", F.lit(0))["name"].alias("best"), F.get("matches", F.lit(0))["dice"].alias("best_dice"))
+
+
 @query("op7_benchmark_passages")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
@@ -50,3 +62,17 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_files")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+URL_RULES = """
+allow com/
+block example.com/en/
+allow www.example.com/en/
+block net/es/
+block net/fr/
+"""
+
+
+@query("op10_url_verdicts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.url_verdicts(read_table(spark, folder, "pages"), urls.parse_rules(URL_RULES))
