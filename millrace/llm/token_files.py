@@ -15,6 +15,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,12 @@ CACHED_PIECES = 600_000
 MANIFEST = "shard int, tokens_file string, index_file string, n_docs long, n_ids long"
 
 
+def _gather(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The slices ``pool[first : first + count]`` one after the other."""
+    upto = np.cumsum(count)
+    return pool[np.repeat(first - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)]
+
+
 class PieceEncoder:
     """Token ids of texts by way of the distinct pieces between ASCII white space.
 
@@ -47,6 +54,10 @@ class PieceEncoder:
         self.specials = [t["content"].encode() for t in spec["added_tokens"]]
         self.lowers = '"Lowercase"' in json.dumps(spec["normalizer"])
         self.size = self.tokenizer.get_vocab_size()
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.is_end = np.zeros(self.size, bool)
+        if suffix:
+            self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.reset()
 
     def reset(self) -> None:
@@ -64,6 +75,33 @@ class PieceEncoder:
         self.ids = np.array([self.end_id], np.uint32)
         self.first, self.count = np.zeros(1, np.int64), np.ones(1, np.int64)
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _tokenize(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and for each piece where its ids begin and how many they are.
+
+        Pieces of letters are one pre-token each, so many go in one call and are
+        told apart by the ids that end a word; if those are not as many as the
+        pieces, each piece goes alone.
+        """
+        is_word = np.fromiter(map(str.isalpha, pieces), bool, len(pieces)) & self.is_end.any()
+        words = [p for p, w in zip(pieces, is_word) if w]
+        runs = self._ids([" ".join(words[k : k + 200]) for k in range(0, len(words), 200)])
+        pool = np.fromiter(chain.from_iterable(runs), np.int64, sum(map(len, runs)))
+        ends = np.flatnonzero(self.is_end[pool]) + 1
+        if len(ends) != len(words) or len(ends) and ends[-1] != len(pool):
+            pool, ends, is_word = pool[:0], ends[:0], np.zeros(len(pieces), bool)
+        count = np.zeros(len(pieces), np.int64)
+        count[is_word] = np.diff(ends, prepend=0)
+        others = self._ids([p for p, w in zip(pieces, is_word) if not w])
+        count[~is_word] = np.fromiter(map(len, others), np.int64, len(others))
+        first = np.zeros(len(pieces), np.int64)
+        first[is_word] = ends - count[is_word]
+        first[~is_word] = len(pool) + np.cumsum(count[~is_word]) - count[~is_word]
+        rest = np.fromiter(chain.from_iterable(others), np.int64, int(count[~is_word].sum()))
+        return np.concatenate([pool, rest]), first, count
+
     def _drain(self) -> None:
         """Tokenize the queued pieces.
 
@@ -72,18 +110,19 @@ class PieceEncoder:
         """
         words, ends, new = [], [], {}
         for piece in self.queue:
-            end = b""
-            if len(piece) > 1 and piece[-1:] in b".," and piece[-2:-1].isalpha():
-                piece, end = piece[:-1], piece[-1:]
-            words.append(new.setdefault(piece, len(new)))
-            ends.append(new.setdefault(end, len(new)) if end else -1)
-        out = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
-        lists = [out[w] if e < 0 else out[w] + out[e] for w, e in zip(words, ends)]
-        count = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((x for ids in lists for x in ids), np.uint32, int(count.sum()))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.ids = np.concatenate([self.ids, flat])
+            if piece[-1] in b".," and piece[-2:-1].isalpha():
+                words.append(new.setdefault(piece[:-1], len(new)))
+                ends.append(new.setdefault(piece[-1:], len(new)))
+            else:
+                words.append(new.setdefault(piece, len(new)))
+                ends.append(-1)
+        pool, first, count = self._tokenize([p.decode() for p in new])
+        parts = np.array([words, ends]).T
+        held = np.where(parts >= 0, count[parts], 0).sum(axis=1)
+        parts = parts[parts >= 0]
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(held) - held])
+        self.count = np.concatenate([self.count, held])
+        self.ids = np.concatenate([self.ids, _gather(pool, first[parts], count[parts]).astype(np.uint32)])
         self.queue = []
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,10 +142,8 @@ class PieceEncoder:
             self._drain()
         place = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         count = self.count[place]
-        upto = np.cumsum(count)
-        ids = self.ids[np.repeat(self.first[place] - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)]
         ends = np.cumsum([len(r) for r in rows], dtype=np.int64) - 1
-        return ids, np.diff(upto[ends], prepend=0)
+        return _gather(self.ids, self.first[place], count), np.diff(np.cumsum(count)[ends], prepend=0)
 
 
 def _create(uri: str, schema: pa.Schema):
