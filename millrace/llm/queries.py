@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, licenses, line_dedup, near_dedup, quality, secrets, token_files, urls
+from millrace.llm import chat, decontaminate, licenses, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, urls
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_secrets")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.secret_digest(secrets.secrets(read_table(spark, folder, "documents")))
+    return secret_scan.secret_digest(secret_scan.secrets(read_table(spark, folder, "documents")))
 
 
 @query("op3_quality_rules")
@@ -54,6 +54,22 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("matches").cast("long").alias("n_units"), names.alias("licenses"), F.get("matches", F.lit(0))["name"].alias("best"), F.get("matches", F.lit(0))["dice"].alias("best_dice"))
 
 
+# the mixture's tree: four domains of five sources each, their languages, the sources themselves
+DOMAIN_WEIGHTS = {"books": 0.3, "code": 0.1, "forum": 0.2, "web": 0.4}
+LANGUAGE_WEIGHTS = {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int") % 4
+    return docs.withColumn("domain", F.get(F.array(*map(F.lit, ["web", "forum", "books", "code"])), number))
+
+
+@query("op6_mixture")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_domain(read_table(spark, folder, "documents"))
+    return mixing.mixture(docs, ["domain", "lang", "source"], [DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, {}], max_epochs=4, seed=6)
+
+
 @query("op7_benchmark_passages")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
@@ -64,6 +80,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op9_chat_repair")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, folder, "conversations"))
+
+
 URL_RULES = """
 allow com/
 block example.com/en/
