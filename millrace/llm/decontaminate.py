@@ -13,7 +13,7 @@ task holds has a fixed bound; more blocks mean more passes over the documents.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -139,12 +139,14 @@ def _without(text: str, spans: list) -> str:
 def _marked(docs: DataFrame, phrases: Phrases, keep_text: bool) -> DataFrame:
     """Adds or widens ``spans`` and ``items`` of every row for one block of phrases."""
     schema = "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>" + ", text string" * keep_text
+    if "rest" in docs.columns:
+        schema += f", rest {docs.schema['rest'].dataType.simpleString()}"
     span_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, none = phrases.vocabulary.get, repeat(0)
 
-        def flush(rows: list, shard: list) -> pa.RecordBatch:
+        def flush(rows: list, shard: list, kinds: pa.Schema) -> pa.RecordBatch:
             spans, items = _search(shard, phrases)
             out = {
                 "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
@@ -154,6 +156,8 @@ def _marked(docs: DataFrame, phrases: Phrases, keep_text: bool) -> DataFrame:
             }
             if keep_text:
                 out["text"] = pa.array([r["text"] for r in rows], pa.string())
+            if "rest" in kinds.names:
+                out["rest"] = pa.array([r["rest"] for r in rows], kinds.field("rest").type)
             return pa.RecordBatch.from_pydict(out)
 
         rows, shard, kept, size = [], [], 0, 0
@@ -168,26 +172,28 @@ def _marked(docs: DataFrame, phrases: Phrases, keep_text: bool) -> DataFrame:
                     shard.append(symbols)
                     kept, size = kept + int(np.count_nonzero(symbols)), size + len(words)
                     if kept >= SHARD or size >= SHARD_WORDS:
-                        yield flush(rows, shard)
+                        yield flush(rows, shard, batch.schema)
                         rows, shard, kept, size = [], [], 0, 0
         if rows:
-            yield flush(rows, shard)
+            yield flush(rows, shard, batch.schema)
 
     return docs.mapInArrow(mark, schema)
 
 
 def marked_documents(
     docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False,
+    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, spans (word positions, merged), items, and the text if asked for.
 
     A window is ``window`` consecutive words of an item; a shorter item is one
     window, an item without words none. Null texts have no words; null ids are
     carried along; repeated rows give repeated results; an empty benchmark
-    leaves every document clean. Only the named columns are read.
+    leaves every document clean. Only the named columns are read; those of
+    ``carry`` come back in the struct ``rest``.
     """
-    out = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    rest = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("rest")] if carry else []
+    out = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), *rest)
     blocks = phrase_blocks(benchmark, item_id, item_text, window, block_words)
     block = next(blocks, [])
     while True:
@@ -209,7 +215,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def cleaned_texts(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, n_hit and the text without the words of the found spans."""
+    """Per document: doc_id, n_hit and the text without the words of the found spans; ``rest`` as in ``marked_documents``."""
+    marked = marked_documents(docs, benchmark, keep_text=True, **options)
+    rest = f", rest {marked.schema['rest'].dataType.simpleString()}" if "rest" in marked.columns else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,6 +225,9 @@ def cleaned_texts(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
                 rows = batch.slice(at, 500).to_pylist()
                 texts = [_without(r["text"], [(s["a"], s["b"]) for s in r["spans"]]) if r["spans"] else r["text"] for r in rows]
                 hits = [sum(s["b"] - s["a"] for s in r["spans"]) for r in rows]
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()), "n_hit": pa.array(hits, pa.int64()), "text": pa.array(texts, pa.string())})
+                out = {"doc_id": batch.column("doc_id").slice(at, 500), "n_hit": pa.array(hits, pa.int64()), "text": pa.array(texts, pa.string())}
+                if rest:
+                    out["rest"] = batch.column("rest").slice(at, 500)
+                yield pa.RecordBatch.from_pydict(out)
 
-    return marked_documents(docs, benchmark, keep_text=True, **options).mapInArrow(cut, "doc_id long, n_hit long, text string")
+    return marked.mapInArrow(cut, f"doc_id long, n_hit long, text string{rest}")

@@ -116,6 +116,7 @@ def mixture(
 
 def mixed_documents(docs: DataFrame, plan: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, each as often as ``plan`` says; ids are unique in ``docs``."""
-    times = plan.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    many = docs.join(times, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")))
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    times = plan.where("copies > 0").select("doc_id", F.col("copies").cast("int").alias("copies"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.struct("*").alias("row"))
+    many = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")))
+    return many.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
