@@ -13,15 +13,22 @@ def col(c: Column | str) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """Number or null; text that is no number, NaN and infinities become null."""
+    """Number or null; text that is no plain decimal number, NaN and infinities become null."""
     n = col(c).try_cast("double")
-    return F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n)
+    # a cast alone also takes the suffixes of Java literals, such as 12d
+    plain = col(c).cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    return F.when(plain & ~F.isnan(n) & (F.abs(n) != float("inf")), n)
 
 
 def clean_numeric(c: Column | str) -> Column:
-    """Drop everything but digits and points, then convert; nothing left -> null."""
-    digits = F.regexp_replace(col(c).cast("string"), r"[^0-9.]", "")
-    return F.nullif(digits, F.lit("")).try_cast("double")
+    """Drop everything but digits and points, then convert; nothing left -> null.
+
+    A number written with an exponent, as Spark writes large doubles, is read as
+    it is, without its sign.
+    """
+    text = col(c).cast("string")
+    digits = F.nullif(F.regexp_replace(text, r"[^0-9.]", ""), F.lit("")).try_cast("double")
+    return F.when(text.rlike(r"^-?[0-9.]+E-?[0-9]+$"), F.abs(text.try_cast("double"))).otherwise(digits)
 
 
 def safe_ratio(num: Column | str, den: Column | str, scale: int | None = None) -> Column:

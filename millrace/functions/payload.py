@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -15,28 +18,18 @@ def json_path(c: Column | str, path: str, default=None) -> Column:
 
 
 def first_object(text: str | None) -> str | None:
-    """The first complete ``{...}`` of a text, minding strings and escapes."""
-    if not text:
-        return None
-    start = text.find("{")
-    if start < 0:
-        return None
-    depth, quoted, i = 0, False, start
-    while i < len(text):
-        ch = text[i]
-        if ch == "\\":
-            i += 1
-        elif ch == '"':
-            quoted = not quoted
-        elif not quoted and ch in "{}":
-            depth += 1 if ch == "{" else -1
-            if depth == 0:
-                return text[start : i + 1]
-        i += 1
+    """The first JSON object in a text, as it stands there; a brace that opens none is passed over."""
+    decoder = json.JSONDecoder()
+    for brace in re.finditer(r"\{", text or ""):
+        try:
+            _, end = decoder.raw_decode(text, brace.start())
+        except (ValueError, RecursionError):
+            continue
+        return text[brace.start() : end]
     return None
 
 
 @F.pandas_udf(T.StringType())
 def balanced_json(s: pd.Series) -> pd.Series:
-    """Column form of :func:`first_object`; bracket depth is no regular language."""
+    """Column form of :func:`first_object`; JSON is no regular language."""
     return s.map(first_object)

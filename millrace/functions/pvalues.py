@@ -8,10 +8,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
-_lgamma = np.vectorize(lgamma, otypes=[float])
 _TINY = 1e-300
 
 
+def _lgamma(x):
+    # made anew, as a vectorized function that has run cannot travel with the plan
+    return np.vectorize(lgamma, otypes=[float])(x)
+
+
 def _beta_fraction(a, b, x, rounds: int = 400):
     """Continued fraction of the incomplete beta function (Lentz's method)."""
     c = np.ones_like(x)

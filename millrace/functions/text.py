@@ -83,11 +83,10 @@ def domain(c: Column | str, default: str) -> Column:
     return F.when(host != "", F.replace(host, F.lit("www."), F.lit(""))).otherwise(F.lit(default))
 
 
-def clean_url(c: Column | str, default: str, blocked: Column | None = None) -> Column:
-    """Trimmed URL, or the default when it is missing, a filler word, not http, or blocked."""
+def clean_url(c: Column | str, default: str, blocked: Column | None = None, fillers: Sequence[str] = ()) -> Column:
+    """Trimmed URL, or the default when it is missing, one of the lower-case ``fillers``, not http, or blocked."""
     u = F.trim(F.coalesce(col(c), F.lit("")))
-    filler = F.lower(u).isin("", "nan", "none", "0", "undefined")
-    bad = filler | ~F.startswith(u, F.lit("http"))
+    bad = F.lower(u).isin("", *fillers) | ~F.startswith(u, F.lit("http"))
     if blocked is not None:
         bad = bad | F.coalesce(blocked, F.lit(False))
     return F.when(bad, F.lit(default)).otherwise(u)

@@ -32,7 +32,7 @@ def group_agg(df: DataFrame, keys: Sequence[str], specs: Mapping[str, Column]) -
     return with_keys(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in specs.items()])
 
 
-def group_summary(df: DataFrame, keys: Sequence[str], value: str, scale: int = 6, **kw) -> DataFrame:
+def group_summary(df: DataFrame, keys: Sequence[str], value: str, scale: int = 6) -> DataFrame:
     """Count, mean, median, standard deviation, minimum and maximum per group."""
     base = with_keys(df, keys)
     moments = base.groupBy(*keys).agg(
@@ -42,7 +42,7 @@ def group_summary(df: DataFrame, keys: Sequence[str], value: str, scale: int = 6
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    return moments.join(quantile_columns(base, value, {"median": 0.5}, keys, scale, **kw), list(keys), "left")
+    return moments.join(quantile_columns(base, value, {"median": 0.5}, keys, scale), list(keys), "left")
 
 
 def flag_counts(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column], total: str = "total") -> DataFrame:
@@ -51,17 +51,19 @@ def flag_counts(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column],
     return group_agg(df, keys, {**specs, total: F.count(F.lit(1))})
 
 
-def five_number(df: DataFrame, keys: Sequence[str], value: str, scale: int = 6, **kw) -> DataFrame:
+def five_number(df: DataFrame, keys: Sequence[str], value: str, scale: int = 6) -> DataFrame:
     """Minimum, quartiles and maximum per group, linearly interpolated."""
     probs = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    return quantile_columns(with_keys(df, keys), value, probs, keys, scale, **kw)
+    return quantile_columns(with_keys(df, keys), value, probs, keys, scale)
 
 
-def group_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], scale: int = 6, **kw) -> DataFrame:
-    """Median of several columns per group, one column each."""
-    base = with_keys(df, keys)
-    parts = [quantile_columns(base, v, {v: 0.5}, keys, scale, **kw) for v in values]
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), parts)
+def group_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], scale: int = 6) -> DataFrame:
+    """Median of several columns per group, all found in the same passes."""
+    base = with_keys(df, keys).select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
+    found = quantile_columns(base.unpivot(list(keys), list(values), "_column", "_value"), "_value", {"_median": 0.5}, [*keys, "_column"], scale)
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_column") == v, F.col("_median"))).alias(v) for v in values])
+    # a group without any value is a group all the same
+    return base.select(*keys).distinct().join(wide, list(keys), "left")
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], value: str, out: str = "mode") -> DataFrame:

@@ -12,13 +12,16 @@ from millrace.operators.aggregates import with_keys
 
 
 def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence[str], margins: bool = False, total: str = "total") -> DataFrame:
-    """Counts per row and column value, empty cells 0, with totals if asked."""
-    wide = with_keys(df, [rows, cols]).groupBy(rows).pivot(cols, list(values)).agg(F.count(F.lit(1)))
-    wide = wide.na.fill(0, list(values))
+    """Counts per row and column value, empty cells 0, with totals if asked.
+
+    Totals count every row with both keys, also those of unlisted column values.
+    """
+    base = with_keys(df, [rows, cols])
+    cells = [F.count_if(F.col(cols) == F.lit(v)).alias(str(v)) for v in values]
     if not margins:
-        return wide
-    full = wide.withColumn(total, row_sum([F.col(f"`{v}`") for v in values]))
-    return with_total_row(full, rows, [*values, total], total)
+        return base.groupBy(rows).agg(*cells)
+    full = base.groupBy(rows).agg(*cells, F.count(F.lit(1)).alias(total))
+    return with_total_row(full, rows, [*map(str, values), total], total)
 
 
 def with_total_row(df: DataFrame, label_column: str, measures: Sequence[str], label: str = "total") -> DataFrame:

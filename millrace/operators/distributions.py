@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.columns import bucketize, col
 from millrace.operators.joins import salted_join
+from millrace.session import pinned
 
 
 def histogram(
@@ -64,28 +65,30 @@ def band_table(df: DataFrame, value: str, edges: Sequence[float], labels: Sequen
 def kde(df: DataFrame, value: str, points: int = 50, by: str | None = None, scale: int = 8) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid over the column's range.
 
-    Equal values are counted first. Every distinct value then adds to each grid
-    point inside its task, and only the grid-sized partial sums are shuffled.
+    One aggregate holds a sum for each grid point, so neither values nor grid
+    points become rows; the bandwidths are one row per group.
     """
     keys = [by] if by else []
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     v = v.na.drop(subset=keys) if keys else v
-    span = v.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).select(F.struct("lo", "hi")).scalar()
-    sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_n"), F.stddev_samp("_v").alias("_sd"))
-    sizes = sizes.withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))).where(F.col("_h") > 0)
-    counts = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    sizes = pinned(sizes.withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))))
+    lo, hi = sizes.agg(F.min("_lo"), F.max("_hi")).first()
+    sizes = sizes.where(F.col("_h") > 0).select(*keys, "_n", "_h")
+    if lo is None:
+        xs = [0.0] * points
+    else:
+        xs = [lo + k * (hi - lo) / max(points - 1, 1) for k in range(points)]
     if keys:
-        counts = salted_join(counts, sizes, keys, "_v")
+        rows = salted_join(v, sizes, keys, "_v")
     else:
-        one = sizes.select(F.struct("_n", "_h")).scalar()
-        counts = counts.withColumn("_one", one).select("*", "_one._n", "_one._h").where(F.col("_h") > 0)
-    grid = counts.withColumn("_span", span).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    lo, hi = F.col("_span.lo"), F.col("_span.hi")
-    x = lo + F.col("point") * (hi - lo) / F.lit(max(points - 1, 1))
-    z = (x - F.col("_v")) / F.col("_h")
-    # within a group _n and _h are constant, so the factor may go inside the sum
-    weight = F.exp(-0.5 * z * z) * F.col("_c") / (F.col("_n") * F.col("_h") * F.lit(sqrt(2 * pi)))
-    out = grid.groupBy(*keys, "point", x.alias("_x")).agg(F.sum(weight).alias("_d"))
-    return out.select(*keys, "point", F.bround("_x", 6).alias("x"), F.bround("_d", scale).alias("density"))
+        rows = v.withColumn("_one", sizes.select(F.struct("_n", "_h")).scalar()).select("_v", "_one.*").where(F.col("_h") > 0)
 
+    def at(x: float) -> Column:
+        z = (F.lit(x) - F.col("_v")) / F.col("_h")
+        # within a group _n and _h are constant, so the factor may go inside the sum
+        return F.sum(F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.lit(sqrt(2 * pi))))
 
+    grid = rows.groupBy(*keys).agg(F.array(*[F.struct(F.lit(k).alias("point"), F.bround(F.lit(x), 6).alias("x"), F.bround(at(x), scale).alias("density")) for k, x in enumerate(xs)]).alias("_g"))
+    out = grid.select(*keys, F.explode("_g").alias("g")).select(*keys, "g.*")
+    return out.where(F.col("density").isNotNull())

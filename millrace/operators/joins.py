@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.session import spread
+from millrace.session import salts
 from millrace.sources.writers import one_per_key
 
 
@@ -31,19 +32,17 @@ def lookup(df: DataFrame, key: str, table: DataFrame, value: str, order: Sequenc
     return df.join(unique, [key], "left")
 
 
-SALTS = 16
-
-
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salt_by: str) -> DataFrame:
     """Inner join of many rows with a table of one row per key, hot keys split.
 
-    The left rows of a key are dealt to ``SALTS`` tasks by the hash of a column
-    that varies within the key; the right row is copied to each of them. Unlike
-    the adaptive skew split, this also works when the result is grouped by the
-    same key straight after.
+    The left rows of a key are dealt to as many tasks as a shuffle has, by the
+    hash of a column that varies within the key; the right row is copied to each
+    of them. Unlike the adaptive skew split, this also works when the result is
+    grouped by the same key straight after.
     """
-    a = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
-    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    n = salts(left.sparkSession)
+    a = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(n)).cast("int"))
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return a.join(b, [*on, "_salt"]).drop("_salt")
 
 
@@ -74,20 +73,19 @@ def tiered_join(
     contains the left one, 3 (``special`` left rows only) the whole region.
     ``tier`` is null and the sums are 0 when nothing matches.
 
-    The right side is summed per prefix and name, per prefix and substring of
-    the name, and per prefix before it meets the left side, so every tier is an
-    equi-join on unique keys and no pairs within a region are formed.
+    The right side is summed per prefix and name, and per prefix, before it meets
+    the left side. The second tier meets on anchors: a left name is known by its
+    first 1, 2, 4, 8 or 16 characters, whichever is the most it has, and right
+    names emit their distinct runs of those lengths.
     """
     sums = [F.sum(m).alias(m) for m in measures]
     r = right.select(F.substring(region_right, 1, prefix).alias("_p"), F.coalesce(F.col(name_right), F.lit("")).alias("_s"), *measures)
     exact = r.groupBy("_p", "_s").agg(*sums)
-    size = F.length("_s")
-    spans = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array())
-    substrings = F.array_distinct(
-        F.flatten(F.transform(spans, lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col("_s"), i, n))))
-    )
-    contains = exact.select("_p", F.explode(F.array_append(substrings, F.lit(""))).alias("_s"), *measures).groupBy("_p", "_s").agg(*sums)
     region = exact.groupBy("_p").agg(*sums)
+    names = left.select(F.substring(region_left, 1, prefix).alias("_p"), F.col(name_left).alias("_name")).where("_name <> ''").distinct()
+    met = names.withColumn("_anchor", anchor("_name")).join(exact.withColumn("_anchor", F.explode(anchors("_s"))), ["_p", "_anchor"])
+    contains = met.where(F.contains("_s", "_name")).groupBy("_p", F.col("_name").alias("_s")).agg(*sums)
+    contains = contains.unionByName(region.withColumn("_s", F.lit("")))  # every name contains the empty one
 
     def packed(df: DataFrame, name: str) -> DataFrame:
         return df.select(*[c for c in df.columns if c not in measures], F.struct(*measures).alias(name))
@@ -104,12 +102,21 @@ def tiered_join(
     )
 
 
-def substrings_of(df: DataFrame, key: str, text: str, lengths: Column, out: str = "gram") -> DataFrame:
-    """Every substring of the given lengths, one row each, produced row by row."""
-    size = F.length(text)
-    cut = df.select(key, text, lengths.alias("_lens")).select(key, text, F.explode("_lens").alias("_l")).where(F.col("_l") <= size)
-    cut = cut.select(key, text, "_l", F.explode(F.sequence(F.lit(1), size - F.col("_l") + 1)).alias("_i"))
-    return cut.select(key, F.substring(F.col(text), F.col("_i"), F.col("_l")).alias(out))
+ANCHORS = (1, 2, 4, 8, 16)
+
+
+def anchor(name: Column | str) -> Column:
+    """The start of a name by which it is looked up: the longest of the anchor lengths it has."""
+    c = F.col(name) if isinstance(name, str) else name
+    size = F.length(c)
+    return F.substring(c, F.lit(1), reduce(lambda a, n: F.when(size >= n, n).otherwise(a), ANCHORS[1:], F.lit(ANCHORS[0])))
+
+
+def anchors(text: Column | str) -> Column:
+    """All distinct runs of the anchor lengths in a text, cut in one pass for each length."""
+    c = F.col(text) if isinstance(text, str) else text
+    runs = [F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))) for n in ANCHORS]
+    return F.concat(*runs)
 
 
 def contains_join(
@@ -117,18 +124,18 @@ def contains_join(
 ) -> DataFrame:
     """Attach the first catalogue row whose name occurs in the text, ignoring case.
 
-    ``key`` identifies a row of ``df``. Instead of testing every text against
-    every name, each text emits its substrings of exactly the lengths that occur
-    in the catalogue, and those meet the names in an equi-join: work grows with
-    the text, not with text times catalogue, and only true matches come out.
+    ``key`` identifies a row of ``df``. Names meet the texts on their anchors in
+    an equi-join, and only the names so found are looked for in the text: work
+    grows with the text, not with text times catalogue. Each text is read once
+    for its anchors and once for the names found.
     """
-    names = catalogue.select(F.lower(name).alias("gram"), F.col(order).alias("_ord"), *payload).where(F.length("gram") >= min_length)
-    names = one_per_key(names, ["gram"], [F.col("_ord").asc()])
-    lengths = names.agg(F.sort_array(F.collect_set(F.length("gram")))).scalar()
-    texts = spread(df.select(F.col(key).alias("_k"), F.lower(text).alias("_t")))
-    hits = substrings_of(texts, "_k", "_t", lengths).join(names, "gram")
-    first = hits.groupBy("_k").agg(F.min(F.struct("_ord", *payload)).alias("_hit"))
-    out = df.join(first, F.col(key) == F.col("_k"), "left")
+    names = catalogue.select(F.lower(name).alias("_cj_name"), F.col(order).alias("_cj_ord"), *payload).where(F.length("_cj_name") >= min_length)
+    names = one_per_key(names, ["_cj_name"], [F.col("_cj_ord").asc()]).withColumn("_anchor", anchor("_cj_name"))
+    texts = df.select(F.col(key).alias("_k"), F.explode(anchors(F.lower(text))).alias("_anchor"))
+    # an anchor may belong to several names, a text has each anchor once
+    found = texts.join(names, "_anchor").groupBy("_k").agg(F.collect_list(F.struct("_cj_ord", "_cj_name", *payload)).alias("_found"))
+    out = df.join(found, F.col(key) == F.col("_k"), "left").withColumn("_lower", F.lower(text))
+    out = out.withColumn("_hit", F.array_min(F.filter("_found", lambda n: F.contains(F.col("_lower"), n["_cj_name"]))))
     return out.select(*df.columns, *[F.col(f"_hit.{p}").alias(p) for p in payload])
 
 
@@ -142,25 +149,25 @@ def attach_metric(features: DataFrame, metric: DataFrame, key: str, value: str,
     return out
 
 
-def densify(df: DataFrame, keys: Sequence[str], fills: Mapping[str, object], domains: Mapping[str, Sequence] | None = None, max_domain: int = 100_000) -> DataFrame:
+def densify(df: DataFrame, keys: Sequence[str], fills: Mapping[str, object], domains: Mapping[str, Sequence] | None = None) -> DataFrame:
     """One row for every combination of the keys' categories; new rows take ``fills``, else null.
 
-    Categories are given, or are those that occur. Like any category list they
-    have to be short: one longer than ``max_domain`` raises an error.
+    Categories are given, or are those that occur. Those of a further key are
+    dealt to as many lists as a shuffle has tasks; the rows so far meet every
+    list by its number, so no task needs all categories at once.
     """
-    domains = dict(domains or {})
-    first, *rest = keys
-    if first in domains:
-        spine = df.sparkSession.createDataFrame([(x,) for x in domains[first]], f"`{first}` {df.schema[first].dataType.simpleString()}")
-    else:
-        spine = df.select(first).where(F.col(first).isNotNull()).distinct()
-    for k in rest:
+    domains, spark = dict(domains or {}), df.sparkSession
+    n = salts(spark)
+
+    def categories(k: str) -> DataFrame:
         if k in domains:
-            values = F.array(*[F.lit(x).cast(df.schema[k].dataType) for x in domains[k]])
-        else:
-            seen = F.collect_set(k)
-            checked = F.when(F.size(seen) > max_domain, F.raise_error(F.lit(f"too many categories in {k}")).cast(f"array<{df.schema[k].dataType.simpleString()}>")).otherwise(seen)
-            values = df.agg(checked).scalar()
-        spine = spine.withColumn(k, F.explode(values))
+            return spark.createDataFrame([(x,) for x in domains[k]], f"`{k}` {df.schema[k].dataType.simpleString()}").distinct()
+        return df.select(k).where(F.col(k).isNotNull()).distinct()
+
+    spine = categories(keys[0])
+    for k in keys[1:]:
+        lists = categories(k).groupBy(F.pmod(F.xxhash64(k), F.lit(n)).alias("_list")).agg(F.collect_list(k).alias("_values"))
+        spine = spine.withColumn("_list", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(lists, "_list")
+        spine = spine.withColumn(k, F.explode("_values")).drop("_list", "_values")
     out = spine.join(df, list(keys), "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})

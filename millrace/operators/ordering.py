@@ -30,12 +30,12 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return out if rank else out.drop(name)
 
 
-def pareto(df: DataFrame, key: str, threshold: float | None = None, scale: int = 6, **kw) -> DataFrame:
+def pareto(df: DataFrame, key: str, threshold: float | None = None, scale: int = 6) -> DataFrame:
     """Rows per key by falling count with the cumulative percentage, up to a threshold."""
     base = df.where(F.col(key).isNotNull())
     counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = base.agg(F.count(F.lit(1))).scalar()
-    run = running_total(counts, [F.desc("n"), F.asc(key)], "n", "_run", **kw)
+    run = running_total(counts, [F.desc("n"), F.asc(key)], "n", "_run")
     out = run.select(key, "n", F.bround(F.col("_run") * 100.0 / total, scale).alias("cum_pct"))
     return out if threshold is None else out.where(F.col("cum_pct") <= threshold)
 
@@ -72,22 +72,31 @@ def sample_frac(df: DataFrame, keys: Sequence[str], permille: int) -> DataFrame:
     return df.where(bucket < permille)
 
 
-def sample_n(df: DataFrame, keys: Sequence[str], n: int, small: int = 10_000) -> DataFrame:
-    """Exactly ``n`` rows (or all), those with the smallest key digests.
+def _cut(cells: DataFrame, before: Column, n: int) -> tuple[Column, Column]:
+    """The cell in which the ``n``-th row lies, and the rows before it, as scalar subqueries."""
+    w = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = cells.withColumn("_b", F.sum("_n").over(w) - F.col("_n") + before).where(F.col("_b") < n)
+    last = run.agg(F.max(F.struct("_c", "_b")).alias("_x")).select("_x.*")
+    return last.select("_c").scalar(), last.select("_b").scalar()
 
-    For more than ``small`` rows, a count per four-digit digest prefix (65,536 cells
-    at most) finds the prefix up to which ``n`` rows lie; only rows up to it are
-    sorted, so no task handles more than the sample itself.
+
+def sample_n(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Exactly ``n`` rows (or all), those with the smallest key digests; keys are unique.
+
+    Counts per four-digit digest prefix (65,536 cells) find the cell that holds
+    the last row, and counts of the next four digits narrow it down. Cells before
+    it are kept whole, so only the rows of one cell in 2^32 are ranked.
     """
     marked = df.withColumn("_md5", _digest(keys))
-    if n > small:
-        cells = marked.groupBy(F.substring("_md5", 1, 4).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        before = cells.withColumn("_b", F.sum("_n").over(w) - F.col("_n"))
-        cutoff = before.where(F.col("_b") < n).agg(F.max("_c")).scalar()
-        marked = marked.where(F.substring("_md5", 1, 4) <= cutoff)
-    rest = [F.col(k).asc() for k in keys]
-    return marked.orderBy("_md5", *rest).limit(n).drop("_md5")
+    first, second = F.substring("_md5", 1, 4), F.substring("_md5", 5, 4)
+    count = F.count(F.lit(1)).alias("_n")
+    cut, skip = _cut(marked.groupBy(first.alias("_c")).agg(count), F.lit(0), n)
+    inner = marked.where(first == cut)
+    cut2, skip2 = _cut(inner.groupBy(second.alias("_c")).agg(count), skip, n)
+    whole = marked.where((first < cut) | ((first == cut) & (second < cut2)))
+    rank = F.row_number().over(Window.orderBy("_md5", *keys))
+    edge = inner.where(second == cut2).withColumn("_rank", rank).where(F.col("_rank") <= n - skip2).drop("_rank")
+    return whole.unionByName(edge).drop("_md5")
 
 
 def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.columns import col
-from millrace.session import spread
 
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 # Elements that have no end tag.
@@ -56,7 +55,7 @@ def visible_text(html: Column | str) -> Column:
 
 def extract_page(df: DataFrame, key: str, html: str) -> DataFrame:
     """Title, language, first heading, links and visible text of each page."""
-    return spread(df.select(key, html)).select(
+    return df.select(
         key,
         tag_text(html, "title").alias("title"),
         tag_attribute(html, "html", "lang").alias("lang"),
@@ -150,4 +149,4 @@ def extract_items(df: DataFrame, key: str, html: str, item: tuple[str, str], fie
                     yield out
 
     schema = f"`{key}` {key_type}, item int, " + ", ".join(f"`{n}` string" for n in names)
-    return spread(df.select(key, html)).mapInPandas(parse, schema)
+    return df.select(key, html).mapInPandas(parse, schema)

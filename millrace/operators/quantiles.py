@@ -1,16 +1,19 @@
 """Exact quantiles without gathering a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer, which is
-right for inputs that fit one task anyway. Beyond that size the quantile is
-found by selection in three bounded steps:
-
-1. count rows per fixed coarse bin of a monotone scale (relative width 1/64);
-2. split only the bins that hold a wanted rank into 4096 equal parts;
-3. count the values of only the parts that hold a wanted rank.
-
-All steps are plain grouped counts with map-side combining, so a group that
-holds a third of the rows is spread over all tasks. The bins depend on nothing
-but the values, so a recomputed stage gives the same split.
+A quantile lies between two values of known rank, and those are found by
+selection: rows are counted per cell, and only the cells that hold a wanted rank
+are split further.
+
+1. The first cells are bins of a monotone scale of relative width 1/64, with
+   bins of their own for zero and the infinities.
+2. A cell is split into 4096 equal parts between its least and greatest value,
+   again and again until it holds one value. A bin spans at most 2^47 doubles, so
+   four splits do, however the values lie.
+
+Every pass is a grouped count with map-side combining. Rows meet the few wanted
+cells on a salted key, so a group that holds a third of the rows is spread over
+all tasks, and what a window orders has at most 4096 rows (some 190,000 in the
+first step). The cells depend on nothing but the values.
 """
 
 from __future__ import annotations
@@ -20,30 +23,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.joins import SALTS
-from millrace.session import fits_one_task
+from millrace.session import pinned, salts
 
 _COARSE_PER_E = 64
 # Above the logarithm of 1 / (smallest double), so every logarithm becomes positive.
 _LOG_FLOOR = 746.0
+_INFINITE = 1 << 20
 _PARTS = 4096
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salted: bool = False) -> DataFrame:
-    """Join on keys that may be null; the right side's copies are dropped.
-
-    ``salted`` deals the values of a key out to several tasks.
-    """
-    if salted:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return _meet(left, right, [*keys, "_salt"], how).drop("_salt")
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], within: Column | None = None) -> DataFrame:
+    """Inner join on keys that may be null; the right side's copies are dropped."""
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(other, cond if within is None else cond & within).drop(*[f"_r_{k}" for k in keys])
 
 
-def _narrow(counts: DataFrame, within: Sequence[str], at: Column | str) -> DataFrame:
+def _narrow(counts: DataFrame, within: Sequence[str], at: str) -> DataFrame:
     """Keep the ordered cells that hold a wanted rank.
 
     ``counts`` has ``_n`` rows per cell, ``_skip`` rows before the first cell
@@ -51,84 +47,57 @@ def _narrow(counts: DataFrame, within: Sequence[str], at: Column | str) -> DataF
     """
     w = Window.partitionBy(*within).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = counts.withColumn("_end", F.col("_skip") + F.sum("_n").over(w)).withColumn("_skip", F.col("_end") - F.col("_n"))
-    return run.withColumn("_want", F.expr("filter(_want, r -> r >= _skip and r < _end)")).where(F.size("_want") > 0).drop("_end")
+    return run.withColumn("_want", F.expr("filter(_want, r -> r >= _skip and r < _end)")).where(F.size("_want") > 0).drop("_end", "_n")
 
 
-def _select_ranks(v: DataFrame, by: list[str], probs: Sequence[float], few_groups: bool) -> DataFrame:
-    # A bounded number of groups has a bounded number of targets (two per wanted
-    # quantile), which are broadcast: the rows are scanned again, never shuffled.
-    # Otherwise equal values are counted first, and a group's values are salted.
-    bounded = few_groups or not by
-    hint = F.broadcast if bounded else (lambda d: d)
-    v = v.withColumn("_c", F.lit(1).cast("long")) if bounded else v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = (), out: str = "q") -> DataFrame:
+    """Exact linear-interpolated quantiles per group, as an array in ``probs`` order.
+
+    Nulls and NaN are left out; infinities count as the values they are. Every
+    pass runs when this is called: its few wanted cells are pinned.
+    """
+    by = list(by)
+    c = F.col(value) if isinstance(value, str) else value
+    v = df.select(*by, c.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     # log is semi-monotonic by the Java specification, so the scale keeps the order
-    size = (F.log(F.abs(F.col("_v"))) + _LOG_FLOOR) * _COARSE_PER_E
+    size = F.when(F.abs("_v") == float("inf"), F.lit(float(_INFINITE))).otherwise((F.log(F.abs(F.col("_v"))) + _LOG_FLOOR) * _COARSE_PER_E)
     v = v.withColumn("_bin", F.when(F.col("_v") == 0, F.lit(0)).otherwise(F.floor(F.signum("_v") * size)).cast("int"))
 
-    # 1. coarse bins: at most about 190,000 per group over the whole double range
-    bins = v.groupBy(*by, "_bin").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    whole = Window.partitionBy(*by)
+    bins = v.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     places = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
     ranks = F.array_distinct(F.array(*[f(p) for p in places for f in (F.floor, F.ceil)]))
-    bins = bins.withColumn("_total", F.sum("_n").over(whole)).withColumns({"_want": ranks, "_skip": F.lit(0).cast("long")})
-    target = _narrow(bins, by, "_bin").drop("_n")
-
-    # 2. equal parts of the wanted bins
-    bin_ = [*by, "_bin"]
-    inside = _meet(v, hint(target.select(*bin_, "_lo", "_hi")), bin_, salted=not bounded)
-    width = F.col("_hi") - F.col("_lo")
-    part = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _PARTS), F.lit(_PARTS - 1))).otherwise(F.lit(0))
-    inside = inside.select(*bin_, part.cast("int").alias("_part"), "_v", "_c")
-    parts = inside.groupBy(*bin_, "_part").agg(F.sum("_c").alias("_n"))
-    target = _narrow(_meet(parts, target.select(*bin_, "_total", "_want", "_skip"), bin_), bin_, "_part").drop("_n")
-
-    # 3. the values of the wanted parts
-    cell = [*bin_, "_part"]
-    values = _meet(inside, hint(target.select(*cell)), cell, "left_semi", not bounded).groupBy(*cell, "_v").agg(F.sum("_c").alias("_n"))
-    found = _narrow(_meet(values, target, cell), cell, "_v")
-
-    pairs = found.select(*by, "_total", F.explode("_want").alias("_r"), "_v")
+    bins = bins.withColumn("_total", F.sum("_n").over(Window.partitionBy(*by))).withColumns({"_want": ranks, "_skip": F.lit(0).cast("long")})
+    target = pinned(_narrow(bins, by, "_bin"))
+
+    n = salts(df.sparkSession)
+    salted = v.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int"))
+    found = target.where("_lo = _hi")
+    while not (target := target.where("_lo < _hi")).isEmpty():
+        cells = target.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        inside = _meet(salted, cells, [*by, "_bin", "_salt"], F.expr("_v >= _lo and _v <= _hi"))
+        part = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * _PARTS), F.lit(_PARTS - 1)).cast("int")
+        cell = [*by, "_bin", "_lo"]
+        parts = inside.groupBy(*cell, part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        parts = _meet(parts, target.select(*cell, "_total", "_want", "_skip"), cell)
+        split = _narrow(parts, cell, "_part").select(*by, "_bin", "_total", "_want", "_skip", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"))
+        target = pinned(split)
+        found = found.unionByName(target.where("_lo = _hi"))
+
+    pairs = found.select(*by, "_total", F.explode("_want").alias("_r"), F.col("_lo").alias("_v"))
     at = pairs.groupBy(*by).agg(
         F.max("_total").alias("_total"),
         F.map_from_entries(F.collect_set(F.struct("_r", "_v"))).alias("_at"),
     ).where(F.col("_total").isNotNull())
-    out = []
+    q = []
     for place in places:
         low, high = F.element_at("_at", F.floor(place)), F.element_at("_at", F.ceil(place))
-        out.append(low + (high - low) * (place - F.floor(place)))
-    return at.select(*by, F.array(*out).alias("_q"))
-
-
-def quantiles(
-    df: DataFrame,
-    value: Column | str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    out: str = "q",
-    method: str = "auto",
-    few_groups: bool = False,
-) -> DataFrame:
-    """Exact linear-interpolated quantiles per group, as an array in ``probs`` order.
-
-    ``method``: ``auto`` takes the single-buffer aggregate only for inputs whose
-    planned size fits one task, ``select`` forces the distributed selection,
-    ``aggregate`` the built-in. ``few_groups`` promises a bounded number of
-    groups (for instance unpivoted column names), whose targets may be broadcast.
-    """
-    by = list(by)
-    c = F.col(value) if isinstance(value, str) else value
-    v = df.select(*by, c.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if method == "aggregate" or (method == "auto" and fits_one_task(v)):
-        q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-        res = v.groupBy(*by).agg(q) if by else v.agg(q).where(F.col("_q").isNotNull())
-    else:
-        res = _select_ranks(v, by, probs, few_groups)
-    return res.withColumnRenamed("_q", out)
+        q.append(F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))))
+    return at.select(*by, F.array(*q).alias(out))
 
 
-def quantile_columns(df: DataFrame, value, probs: dict[str, float], by: Sequence[str] = (), scale: int | None = 6, **kw) -> DataFrame:
+def quantile_columns(df: DataFrame, value, probs: dict[str, float], by: Sequence[str] = (), scale: int | None = 6) -> DataFrame:
     """:func:`quantiles` with one named column per quantile."""
-    q = quantiles(df, value, list(probs.values()), by, "_q", **kw)
+    q = quantiles(df, value, list(probs.values()), by, "_q")
     cols = [F.element_at("_q", i + 1) for i in range(len(probs))]
     if scale is not None:
         cols = [F.bround(c, scale) for c in cols]

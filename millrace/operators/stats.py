@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.columns import bucketize, safe_ratio
+from millrace.functions.columns import safe_ratio
 from millrace.functions.pvalues import chi2_pvalue, t_pvalue
-from millrace.operators.aggregates import describe_categorical, group_mode, null_report, with_keys
+from millrace.operators.aggregates import describe_categorical, group_mode, with_keys
 from millrace.operators.joins import salted_join
 from millrace.operators.quantiles import quantile_columns, quantiles
+from millrace.session import pinned
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -23,7 +23,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
     return df.select(*keys, *cols).unpivot(list(keys), list(columns), "column", "value")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), scale: int = 6, **kw) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), scale: int = 6) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column (and key)."""
     rows = with_keys(df, keys).select(*keys, *[(F.col(c).cast("double") + 0.0).alias(c) for c in columns])
 
@@ -38,13 +38,12 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str]
 
     one = rows.groupBy(*keys).agg(*[F.struct(F.lit(c).alias("column"), *numbers(c)).alias(c) for c in columns])
     base = one.select(*keys, F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("_s")).select(*keys, "_s.*")
-    kw.setdefault("few_groups", not keys)
     by = [*keys, "column"]
-    return base.join(quantile_columns(long_form(rows, columns, keys), "value", QUARTILES, by, scale, **kw), by, "left")
+    return base.join(quantile_columns(long_form(rows, columns, keys), "value", QUARTILES, by, scale), by, "left")
 
 
-def describe_by(df: DataFrame, target: str, columns: Sequence[str], scale: int = 6, **kw) -> DataFrame:
-    return describe_numeric(df, columns, [target], scale, **kw)
+def describe_by(df: DataFrame, target: str, columns: Sequence[str], scale: int = 6) -> DataFrame:
+    return describe_numeric(df, columns, [target], scale)
 
 
 def sample_skew(value: Column | str) -> Column:
@@ -59,67 +58,68 @@ def sample_kurtosis(value: Column | str) -> Column:
     return F.when(n > 3, (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0)) * ((n + 1) * g + 6))
 
 
-def moments(df: DataFrame, value: str, keys: Sequence[str] = (), kind: str = "population", scale: int = 6) -> DataFrame:
-    """Mean, deviation, skewness, excess kurtosis and coefficient of variation.
-
-    ``population`` divides by n; ``sample`` uses the adjusted estimators.
-    """
+def _moments(value: str, kind: str, scale: int) -> list[Column]:
     if kind not in ("population", "sample"):
         raise ValueError(kind)
     std = F.stddev_pop(value) if kind == "population" else F.stddev_samp(value)
     skew = F.skewness(value) if kind == "population" else sample_skew(value)
     kurt = F.kurtosis(value) if kind == "population" else sample_kurtosis(value)
     rounded = {"mean": F.avg(value), "std": std, "skew": skew, "kurtosis": kurt, "cv": safe_ratio(std, F.avg(value))}
-    aggs = [F.count(value).alias("n"), *[F.bround(c, scale).alias(n) for n, c in rounded.items()]]
-    base = with_keys(df, keys)
-    return base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)
+    return [F.count(value).alias("n"), *[F.bround(c, scale).alias(n) for n, c in rounded.items()]]
 
 
-def advanced_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int = 6, **kw) -> DataFrame:
-    """Moments, mode, quartiles, fences and number of outliers per group."""
-    base = with_keys(df, keys).where(F.col(value).isNotNull())
-    stats = moments(base, value, keys, "sample", scale)
-    span = base.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"))
-    mode = group_mode(base, keys, value)
-    fences = _fences(base, value, keys, **kw)
-    outliers = _against_fences(base, value, keys, fences).groupBy(*keys).agg(F.sum(F.when(F.col("_out"), F.col("_c")).otherwise(0)).alias("outliers"))
-    out = reduce(lambda a, b: a.join(b, list(keys)), [stats, span, fences, outliers, mode])
-    return out.withColumns({c: F.bround(c, scale) for c in ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]})
+def moments(df: DataFrame, value: str, keys: Sequence[str] = (), kind: str = "population", scale: int = 6) -> DataFrame:
+    """Mean, deviation, skewness, excess kurtosis and coefficient of variation.
 
+    ``population`` divides by n; ``sample`` uses the adjusted estimators.
+    """
+    base, aggs = with_keys(df, keys), _moments(value, kind, scale)
+    return base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)
 
-def _fences(df: DataFrame, value: str, keys: Sequence[str], **kw) -> DataFrame:
-    q = quantile_columns(df, value, QUARTILES, keys, None, **kw)
-    iqr = F.col("q3") - F.col("q1")
-    return q.withColumns({"iqr": iqr, "lower_fence": F.col("q1") - 1.5 * iqr, "upper_fence": F.col("q3") + 1.5 * iqr})
 
+def _with_fences(base: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """All rows next to their group's quartiles and fences, and the flag ``_out``.
 
-def _against_fences(df: DataFrame, value: str, keys: Sequence[str], fences: DataFrame) -> DataFrame:
-    """Distinct values with their count ``_c`` and the flag ``_out``; the fences are one row per group."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    joined = salted_join(counts, fences.select(*keys, "lower_fence", "upper_fence"), keys, value)
+    The fences are one row per group; a hot group's rows are dealt to many tasks.
+    """
+    q = quantile_columns(base, value, QUARTILES, keys, None)
+    iqr = F.col("q3") - F.col("q1")
+    fences = q.withColumns({"iqr": iqr, "lower_fence": F.col("q1") - 1.5 * iqr, "upper_fence": F.col("q3") + 1.5 * iqr})
+    joined = salted_join(base.select(*keys, value), fences, keys, value)
     return joined.withColumn("_out", (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence")))
 
 
-def box_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int = 6, **kw) -> DataFrame:
+def advanced_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int = 6) -> DataFrame:
+    """Moments, mode, quartiles, fences and number of outliers per group."""
+    base = with_keys(df, keys).where(F.col(value).isNotNull())
+    same = ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
+    numbers = _with_fences(base, value, keys).groupBy(*keys).agg(
+        *_moments(value, "sample", scale),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        *[F.bround(F.max(c), scale).alias(c) for c in same],
+        F.count_if("_out").alias("outliers"),
+    )
+    return numbers.join(group_mode(base, keys, value), list(keys))
+
+
+def box_stats(df: DataFrame, value: str, keys: Sequence[str], scale: int = 6) -> DataFrame:
     """Five numbers, whisker ends and number of outliers per group."""
     base = with_keys(df, keys).where(F.col(value).isNotNull())
-    fences = _fences(base, value, keys, **kw)
-    marked = _against_fences(base, value, keys, fences)
     inner = F.when(~F.col("_out"), F.col(value))
-    ends = marked.groupBy(*keys).agg(
+    return _with_fences(base, value, keys).groupBy(*keys).agg(
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.min(inner).alias("whisker_low"),
         F.max(inner).alias("whisker_high"),
-        F.sum(F.when(F.col("_out"), F.col("_c")).otherwise(0)).alias("outliers"),
+        F.count_if("_out").alias("outliers"),
+        *[F.bround(F.max(c), scale).alias(c) for c in QUARTILES],
     )
-    quart = fences.select(*keys, *[F.bround(c, scale).alias(c) for c in QUARTILES])
-    return ends.join(quart, list(keys))
 
 
-def quantile_table(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), scale: int = 6, **kw) -> DataFrame:
+def quantile_table(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), scale: int = 6) -> DataFrame:
     """One row per quantile."""
-    q = quantiles(df, value, probs, keys, "_q", **kw)
+    q = quantiles(df, value, probs, keys, "_q")
     long = q.select(*keys, F.posexplode("_q").alias("_i", "_v"))
     names = F.array(*[F.lit(float(p)) for p in probs])
     return long.select(*keys, F.element_at(names, F.col("_i") + 1).alias("p"), F.bround("_v", scale).alias("value"))
@@ -141,12 +141,13 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFr
 
 
 def regression_pairs(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFrame:
-    """Least-squares line and correlation for every pair x before y."""
-    pairs = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).alias("u"), F.col(y).alias("v")) for x, y in combinations(columns, 2)]
-    # a row per pair keeps the aggregate small enough for compiled code
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    fit = {"slope": F.regr_slope("v", "u"), "intercept": F.regr_intercept("v", "u"), "r": F.corr("u", "v")}
-    return long.groupBy("x", "y").agg(*[F.bround(c, scale).alias(n) for n, c in fit.items()])
+    """Least-squares line and correlation for every pair x before y, from one aggregate."""
+    fits = []
+    for x, y in combinations(columns, 2):
+        u, v = F.col(x).cast("double"), F.col(y).cast("double")
+        parts = {"slope": F.regr_slope(v, u), "intercept": F.regr_intercept(v, u), "r": F.corr(u, v)}
+        fits.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), *[F.bround(c, scale).alias(n) for n, c in parts.items()]))
+    return df.agg(F.array(*fits).alias("_f")).select(F.explode("_f").alias("f")).select("f.*")
 
 
 def welch_t(df: DataFrame, target: Column, columns: Sequence[str], scale: int = 6, alpha: float = 0.05, p_values: bool = True) -> DataFrame:
@@ -178,14 +179,14 @@ def chi2(df: DataFrame, columns: Sequence[str], target: str, scale: int = 6, alp
 
     With one degree of freedom Yates' correction is applied: each deviation
     shrinks by up to 0.5. Only cells that occur are counted and joined to their
-    marginals. An empty cell adds its expected count, so all empty cells
+    marginals; the counted cells are pinned, so the rows are read once. An empty cell adds its expected count, so all empty cells
     together add n less the expected counts of the others; in a 2 x 2 table all
     four deviations are equal and the sum of 1 / expected is
     n * sum(1 / row) * sum(1 / column). The full table is never built.
     """
     cols = [F.col(c).cast("string").alias(c) for c in columns]
     long = df.select(F.col(target).cast("string").alias("_t"), *cols).unpivot(["_t"], list(columns), "column", "level")
-    cells = with_keys(long, ["_t", "level"]).groupBy("column", "level", "_t").agg(F.count(F.lit(1)).cast("double").alias("_o"))
+    cells = pinned(with_keys(long, ["_t", "level"]).groupBy("column", "level", "_t").agg(F.count(F.lit(1)).cast("double").alias("_o")))
     rows = cells.groupBy("column", "level").agg(F.sum("_o").alias("_r"))
     sides = cells.groupBy("column", "_t").agg(F.sum("_o").alias("_c"))
     whole = rows.groupBy("column").agg(F.sum("_r").alias("n"), F.count(F.lit(1)).alias("_nr"), F.sum(1 / F.col("_r")).alias("_ir"))
@@ -211,20 +212,28 @@ def chi2(df: DataFrame, columns: Sequence[str], target: str, scale: int = 6, alp
     return out.select(*keep, F.bround("_p", 10).alias("p_value"), (F.col("_p") < alpha).alias("significant"))
 
 
-def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], scale: int = 6, **kw) -> DataFrame:
-    """Every column's nulls, distinct values, top value, zeros and quartiles over all rows."""
+def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], scale: int = 6) -> DataFrame:
+    """Every column's nulls, distinct values, top value, zeros and quartiles over all rows.
+
+    One aggregate gives all that a single pass can count, one the values.
+    """
+
+    def one_pass(c: str) -> Column:
+        v, is_number = F.col(c).cast("double") + 0.0 if c in numeric else F.lit(None).cast("double"), c in numeric
+        numbers = {"mean": F.bround(F.avg(v), scale), "std": F.bround(F.stddev_samp(v), scale), "min": F.min(v), "max": F.max(v)}
+        zeros = F.count_if(v == 0) if is_number else F.lit(None).cast("long")
+        return F.struct(F.lit(c).alias("column"), F.lit("numeric" if is_number else "categorical").alias("kind"), F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col(c).isNull()).alias("nulls"), *[x.alias(n) for n, x in numbers.items()], zeros.alias("zeros"))
+
     columns = [*numeric, *categorical]
-    base = null_report(df, columns, scale).select("column", "rows", "nulls")
+    base = df.agg(F.array(*[one_pass(c) for c in columns]).alias("_p")).select(F.explode("_p").alias("p")).select("p.*")
     top = describe_categorical(df, columns).select("column", "unique", "top", "freq")
-    nums = describe_numeric(df, numeric, scale=scale, **kw).drop("n")
-    zero = df.agg(*[F.count_if(F.col(c) == 0).alias(c) for c in numeric]).unpivot([], list(numeric), "column", "zeros")
-    kind = F.when(F.col("column").isin(list(numeric)), F.lit("numeric")).otherwise(F.lit("categorical"))
-    joined = reduce(lambda a, b: a.join(b, "column", "left"), [base, top, nums, zero])
-    return joined.withColumn("kind", kind)
+    quart = quantile_columns(long_form(df, numeric), "value", QUARTILES, ["column"], scale)
+    return base.join(top, "column", "left").join(quart, "column", "left")
 
 
-def shape_label(skew: Column, kurtosis: Column) -> tuple[Column, Column]:
-    """Words for a skewness and an excess kurtosis."""
-    side = bucketize(skew, [-0.5, 0.5], ["left-skewed", "symmetric", "right-skewed"])
-    tail = bucketize(kurtosis, [-1.0, 1.0], ["flat", "normal-tailed", "heavy-tailed"])
+def shape_label(skew: Column, kurtosis: Column, skew_limit: float = 1.0, kurtosis_limit: float = 3.0) -> tuple[Column, Column]:
+    """Words for a skewness and an excess kurtosis; null without a number."""
+    side = F.when(skew > skew_limit, "right-skewed").when(skew < -skew_limit, "left-skewed").when(skew.isNotNull(), "even")
+    tail = F.when(kurtosis > kurtosis_limit, "peaked").when(kurtosis.isNotNull(), "gentle")
     return side, tail

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.text import WORD, strip_html, strip_non_word, tokens
 from millrace.operators.ordering import top_n_per_group
-from millrace.session import spread
+from millrace.session import salts
 
 
 def combined_text(columns: Sequence[str]) -> Column:
@@ -24,10 +24,13 @@ def combined_text(columns: Sequence[str]) -> Column:
 def term_counts(
     df: DataFrame, doc: str, text: Column | str, by: Sequence[str] = (), pattern: str = WORD, stop: Sequence[str] = ()
 ) -> DataFrame:
-    """Occurrences of each term per document. Tokens of a document sit in one
-    partition, so the count is nearly complete before the shuffle."""
+    """Occurrences of each term per document.
+
+    Texts are dealt out by document once; counting, and a norm per document
+    later, need no further shuffle.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    texts = spread(df.select(*by, F.col(doc).alias("doc"), t.alias("_t")))
+    texts = df.select(*by, F.col(doc).alias("doc"), t.alias("_t")).repartition(salts(df.sparkSession), *by, "doc")
     words = texts.select(*by, "doc", F.explode(tokens("_t", pattern)).alias("term")).where(F.col("term").isNotNull())
     if stop:
         words = words.where(~F.col("term").isin(list(stop)))

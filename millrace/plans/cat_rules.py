@@ -194,7 +194,7 @@ def _(t: Tables):
 def _(t: Tables):
     stores = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).withColumnRenamed("n_name", "city")
     flags = {n: F.col("c_mktsegment") == n.upper() for n in ("building", "machinery", "household")}
-    return M.city_index(stores, "city", flags, ["building", "machinery"], "household", ["c_acctbal", "c_custkey"], method="aggregate")
+    return M.city_index(stores, "city", flags, ["building", "machinery"], "household", ["c_acctbal", "c_custkey"])
 
 
 @query("rl_12_cartogram", f"with {TIER_SQL} select area, cell, cast(tier as int) as tier, n, size, {rnd('n / nullif(size, 0)')} as ratio from tiers")

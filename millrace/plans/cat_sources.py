@@ -182,16 +182,19 @@ def _(t: Tables):
 
 @query(
     "prj_02_to_number",
-    """select o_orderkey, try_cast(case when o_orderstatus = 'F' then cast(o_totalprice as varchar) else o_orderpriority end as double) as n from orders""",
+    """select o_orderkey, case when o_orderstatus = 'F' then o_totalprice when o_orderstatus = 'O' then o_totalprice * 1e6 end as n from orders""",
 )
 def _(t: Tables):
-    raw = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("string")).otherwise(F.col("o_orderpriority"))
+    price = F.col("o_totalprice")
+    suffixed = F.when(F.col("o_orderkey") % 2 == 0, F.concat(price.cast("string"), F.lit("d"))).otherwise(F.col("o_orderpriority"))
+    raw = F.when(F.col("o_orderstatus") == "F", price.cast("string")).when(F.col("o_orderstatus") == "O", (price * 1e6).cast("string")).otherwise(suffixed)
     return t.orders.select("o_orderkey", C.to_number(raw).alias("n"))
 
 
-@query("prj_03_clean_numeric", "select o_orderkey, case when o_orderstatus <> 'P' then o_totalprice end as price from orders")
+@query("prj_03_clean_numeric", "select o_orderkey, case o_orderstatus when 'F' then o_totalprice when 'O' then o_totalprice * 1e6 end as price from orders")
 def _(t: Tables):
-    shown = F.when(F.col("o_orderstatus") == "P", F.lit(" n/a ")).otherwise(F.concat(F.lit("$ "), F.format_number("o_totalprice", 2)))
+    shown = F.when(F.col("o_orderstatus") == "P", F.lit(" n/a ")).when(F.col("o_orderstatus") == "F", F.concat(F.lit("$ "), F.format_number("o_totalprice", 2)))
+    shown = shown.otherwise((F.col("o_totalprice") * 1e6).cast("string"))
     return t.orders.select("o_orderkey", C.clean_numeric(shown).alias("price"))
 
 
@@ -309,7 +312,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     raw = F.when(F.startswith("url", F.lit("https")), F.concat(F.lit(" "), "url")).otherwise(F.lit("NaN"))
-    return t.pages.select("page_id", X.clean_url(raw, "https://placeholder.invalid/none.png", F.contains("url", F.lit(".example.net"))).alias("url"))
+    return t.pages.select("page_id", X.clean_url(raw, "https://placeholder.invalid/none.png", F.contains("url", F.lit(".example.net")), ["nan", "none"]).alias("url"))
 
 
 @query(

@@ -32,7 +32,7 @@ def _(t: Tables):
 @query("sx_01_describe_numeric_select", describe_sql("lineitem", LINE_NUM))
 def _(t: Tables):
     """With the distributed quantile selection that large inputs take."""
-    return S.describe_numeric(t.lineitem, LINE_NUM, method="select")
+    return S.describe_numeric(t.lineitem, LINE_NUM)
 
 
 @query("sx_02_describe_by", describe_sql("orders", ["o_totalprice", "o_custkey"], "o_orderstatus"))
@@ -90,7 +90,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """With the distributed selection that large inputs take."""
-    return S.quantile_table(t.events, "value", PROBS, ["event_type"], method="select")
+    return S.quantile_table(t.events, "value", PROBS, ["event_type"])
 
 
 @query(
@@ -241,11 +241,15 @@ def _(t: Tables):
 
 @query(
     "sx_18_shape_label",
-    """select l_suppkey, case when s < -0.5 then 'left-skewed' when s < 0.5 then 'symmetric' else 'right-skewed' end as side,
-       case when k < -1 then 'flat' when k < 1 then 'normal-tailed' else 'heavy-tailed' end as tail
-       from (select l_suppkey, round_even(skewness(l_extendedprice), 6) as s, round_even(kurtosis(l_extendedprice), 6) as k from lineitem group by 1)""",
+    """select l_suppkey, case when s > 1 then 'right-skewed' when s < -1 then 'left-skewed' else 'even' end as side,
+       case when k > 3 then 'peaked' else 'gentle' end as tail
+       from (select l_suppkey, round_even(skewness(v), 6) as s, round_even(kurtosis(v), 6) as k
+             from (select l_suppkey, case l_suppkey % 2 when 0 then 1 else -1 end * pow(l_quantity / 10, 1 + l_suppkey % 6) as v from lineitem) group by 1)""",
 )
 def _(t: Tables):
-    m = S.moments(t.lineitem, "l_extendedprice", ["l_suppkey"], "sample")
+    # powers of the quantity, half of them turned, reach all labels
+    power = F.pow(F.col("l_quantity") / 10, (1 + F.col("l_suppkey") % 6).cast("double"))
+    values = t.lineitem.select("l_suppkey", F.when(F.col("l_suppkey") % 2 == 0, power).otherwise(-power).alias("v"))
+    m = S.moments(values, "v", ["l_suppkey"], "sample")
     side, tail = S.shape_label(F.col("skew"), F.col("kurtosis"))
     return m.select("l_suppkey", side.alias("side"), tail.alias("tail"))

@@ -67,11 +67,11 @@ def publish_marts(marts: dict[str, DataFrame], folder: str) -> None:
         publish(df, f"{folder}/{name}")
 
 
-def city_index(stores: DataFrame, city: str, flags: dict[str, Column], num: Sequence[str], den: str, coords: Sequence[str], **kw) -> DataFrame:
+def city_index(stores: DataFrame, city: str, flags: dict[str, Column], num: Sequence[str], den: str, coords: Sequence[str]) -> DataFrame:
     """Counts per flag, ratio index and median coordinates per city."""
     base = with_keys(stores, [city])
     counts = base.groupBy(city).agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()], F.count(F.lit(1)).alias("total"))
-    return ratio_index(counts, num, den).join(group_median(base, [city], coords, **kw), [city], "left")
+    return ratio_index(counts, num, den).join(group_median(base, [city], coords), [city], "left")
 
 
 def cartogram(grid: DataFrame, table: DataFrame, names: dict[str, str], num: Sequence[str], den: str, special: Column | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session set-up, plan sizes and shared scratch space."""
+"""Session set-up and shared scratch space."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Below this planned size a whole input fits into one task, so an operator may
-# take its single-task form; above it every operator takes its distributed form.
-SMALL_BYTES = 256 << 20
-
 
 def get_spark(app: str = "millrace", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings the operators are tuned for.
@@ -36,26 +32,9 @@ def get_spark(app: str = "millrace", cores: int | str = "*", shuffle_partitions:
     return spark
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's upper estimate of the size of ``df``; runs no job.
-
-    Joins are estimated as the product of their sides, so the number errs on
-    the large side.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_one_task(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    return planned_bytes(df) <= limit
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores before CPU-heavy work.
-
-    A file with a single row group is read by one task. Inputs of more than
-    one task's size come in many splits already and are left alone.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if fits_one_task(df) else df
+def salts(spark: SparkSession) -> int:
+    """Into how many tasks a hot key is dealt: as many as a shuffle has."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -65,7 +44,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)

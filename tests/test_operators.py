@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import aggregates as A, cleaning, crosstabs as X, funnel as N, joins as J, ordering as O, pages as P, rules as R, tfidf as K
@@ -47,21 +47,39 @@ def test_tiers(spark):
     assert got == {("North", "Mill"): (1, 5), ("North", "brook"): (2, 7), ("East", "East-all"): (3, 6), ("North", "Ford"): (None, 0), ("West", ""): (2, 1)}
 
 
-def test_densify_and_its_guard(spark):
+def test_densify(spark):
     df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "k string, l string, n int")
     got = sorted(tuple(r) for r in J.densify(df, ["k", "l"], {"n": 0}).collect())
     assert got == [("a", "x", 1), ("a", "y", 0), ("b", "x", 0), ("b", "y", 2)]
-    with pytest.raises(Exception, match="too many categories"):
-        J.densify(df, ["k", "l"], {}, max_domain=1).collect()
+    three = J.densify(df.withColumn("m", F.col("n") * 10), ["k", "l", "m"], {}, {"m": [10, 20, 30]}).collect()
+    assert len(three) == 12 and len(set(three)) == 12
+    assert J.densify(df.limit(0), ["k", "l"], {}).collect() == []
 
 
 def test_running_total_by_ranges_equals_window(spark):
     rows = [(i % 5, i, float(i % 11)) for i in range(3000)] + [(0, 10_000 + i, 1.0) for i in range(1500)]
     df = spark.createDataFrame(rows, "g int, i int, v double").repartition(6)
     order = [F.desc("g"), F.asc("i")]
-    a = running_total(df, order, "v", method="window").orderBy("i").collect()
-    b = running_total(df, order, "v", method="ranges", pieces=7).orderBy("i").collect()
-    assert a == b
+    whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a = df.withColumn("running", F.sum("v").over(whole)).orderBy("i").collect()
+    assert a == running_total(df, order, "v", pieces=7).orderBy("i").collect()
+    gaps = df.withColumn("v", F.when(F.col("i") % 900 > 500, F.col("v")))
+    a = gaps.withColumn("running", F.sum("v").over(whole)).orderBy("i").collect()
+    assert a == running_total(gaps, order, "v", pieces=40).orderBy("i").collect()
+
+
+def test_sample_n_equals_a_sort(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"))
+    for n in (0, 1, 700, 5000, 9000):
+        want = df.orderBy(F.md5(F.col("k").cast("string")), "k").limit(n).collect()
+        assert sorted(O.sample_n(df, ["k"], n).collect()) == sorted(want)
+
+
+def test_containment_in_long_texts(spark):
+    names = spark.createDataFrame([(1, "Needle in hay"), (2, "ZZ"), (3, "x"), (4, "needle"), (5, "a long name of more than sixteen letters"), (6, None), (7, "\U0001f600\U0001f600")], "o int, n string")
+    texts = [(1, "hay " * 20_000 + "NEEDLE IN HAY"), (2, None), (3, ""), (4, "zz top"), (5, "had A Long Name of more than sixteen letters!"), (6, "needl"), (7, "é\U0001f600\U0001f600")]
+    got = {r["k"]: r["o"] for r in J.contains_join(spark.createDataFrame(texts, "k int, t string"), "k", "t", names, "n", "o", ["o"]).collect()}
+    assert got == {1: 1, 2: None, 3: None, 4: 2, 5: 5, 6: None, 7: 7}
 
 
 def test_deduplication_is_cut_before_the_shuffle(spark, folder):
@@ -85,14 +103,6 @@ def test_dedup_groups_nulls(spark):
     assert sorted(r["i"] for r in O.drop_duplicates(df, ["k"], [F.asc("i")]).collect()) == [1, 3]
 
 
-def test_sample_n(spark):
-    df = spark.range(5000)
-    plain = {r["id"] for r in O.sample_n(df, ["id"], 700).collect()}
-    cut = {r["id"] for r in O.sample_n(df, ["id"], 700, small=1).collect()}
-    assert plain == cut and len(cut) == 700
-    assert O.sample_n(df, ["id"], 9000, small=1).count() == 5000
-
-
 def test_pareto_and_shares(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] + [(None,)], "k string")
     got = [(r["k"], r["n"], r["cum_pct"]) for r in O.pareto(df, "k", 90).orderBy("cum_pct").collect()]

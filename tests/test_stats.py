@@ -38,20 +38,32 @@ def test_selection_equals_numpy(spark):
     rows = skewed()
     df = spark.createDataFrame(rows + [("hot", None), ("g1", float("nan")), (None, 3.0), (None, 4.0)], "g string, v double").repartition(7)
     for by in ([], ["g"]):
-        got = {r["g"] if by else "": r["q"] for r in quantiles(df, "v", PROBS, by, method="select").collect()}
-        agg = {r["g"] if by else "": r["q"] for r in quantiles(df, "v", PROBS, by, method="aggregate").collect()}
+        got = {r["g"] if by else "": r["q"] for r in quantiles(df, "v", PROBS, by).collect()}
+        known = df.where("v is not null and not isnan(v)")
+        agg = {r["g"] if by else "": r["q"] for r in known.groupBy(*by).agg(F.percentile("v", F.array(*map(F.lit, PROBS))).alias("q")).collect()}
         assert got.keys() == agg.keys()
         for k in got:
             assert got[k] == pytest.approx(agg[k], rel=1e-12)
     hot = [v for g, v in rows if g == "hot"]
-    assert {r["g"]: r["q"] for r in quantiles(df, "v", PROBS, ["g"], method="select").collect()}["hot"] == pytest.approx(np.quantile(hot, PROBS).tolist())
+    assert {r["g"]: r["q"] for r in quantiles(df, "v", PROBS, ["g"]).collect()}["hot"] == pytest.approx(np.quantile(hot, PROBS).tolist())
 
 
 def test_selection_on_one_value_and_on_nothing(spark):
     df = spark.createDataFrame([(7.0,)] * 5, "v double")
-    assert quantiles(df, "v", [0.1, 0.5], method="select").first()["q"] == [7.0, 7.0]
-    assert quantiles(df.limit(0), "v", [0.5], method="select").count() == 0
-    assert quantiles(df.limit(0), "v", [0.5], method="aggregate").count() == 0
+    assert quantiles(df, "v", [0.1, 0.5]).first()["q"] == [7.0, 7.0]
+    assert quantiles(df.limit(0), "v", [0.5]).count() == 0
+
+
+def test_selection_with_infinities_and_crowded_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, 5.0, inf)], "v double")
+    assert quantiles(df, "v", [0.25, 0.5, 1.0]).first()["q"] == [1.75, 3.5, inf]
+    df = spark.createDataFrame([(x,) for x in (-inf, -inf, 0.0, -0.0, 5e-324, inf, inf, inf)], "v double")
+    assert quantiles(df, "v", [0.0, 0.1, 0.5, 1.0]).first()["q"][:2] == [-inf, -inf]
+    # many values within 1e-9 of each other beside a far one in the same first cell
+    near = spark.range(200_000).select((F.lit(1.0) + F.col("id") * 2.0**-52).alias("v")).unionByName(spark.createDataFrame([(1.0155,)], "v double"))
+    values = np.append(1.0 + np.arange(200_000) * 2.0**-52, 1.0155)
+    assert quantiles(near, "v", [0.3, 0.5, 0.9]).first()["q"] == pytest.approx(np.quantile(values, [0.3, 0.5, 0.9]).tolist(), abs=1e-16)
 
 
 def test_sample_moments_need_rows(spark):
