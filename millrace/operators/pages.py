@@ -3,54 +3,73 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from html import unescape as unescape_html
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.columns import col
 
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 # Elements that have no end tag.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-def unescape(c: Column | str) -> Column:
-    """The common entities as characters, the ampersand last."""
-    out = col(c)
-    for entity, char in _ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+@F.pandas_udf(T.StringType())
+def unescape(s: pd.Series) -> pd.Series:
+    """Named and numeric character references as characters."""
+    return s.map(lambda x: x if x is None or "&" not in x else unescape_html(x))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescape_all(s: pd.Series) -> pd.Series:
+    """:func:`unescape` for every element of an array."""
+    return s.map(lambda xs: None if xs is None else [x if x is None or "&" not in x else unescape_html(x) for x in xs])
+
+
+def _attribute(name: str) -> str:
+    """Pattern of an attribute with its value in group ``value``, after a blank, in either kind of quotes."""
+    return rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+
+
+def _value(html: Column, pattern: str) -> Column:
+    """Whichever of the two groups of the first match is filled."""
+    return F.concat(F.regexp_extract(html, pattern, 1), F.regexp_extract(html, pattern, 2))
 
 
 def tag_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``<tag>``; null without one."""
-    inner = F.regexp_extract(col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
-    plain = F.trim(F.regexp_replace(unescape(F.regexp_replace(inner, r"<[^>]*>", " ")), r"\s+", " "))
-    return F.nullif(plain, F.lit(""))
+    inner = F.regexp_extract(col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
+    return F.nullif(_plain(unescape(F.regexp_replace(inner, r"<[^>]*>", " "))), F.lit(""))
+
+
+def _plain(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
 
 
 def tag_attribute(html: Column | str, tag: str, attribute: str) -> Column:
     """Attribute of the first ``<tag>`` that has it; null without one."""
-    found = F.regexp_extract(col(html), rf"""(?is)<{tag}\s[^>]*?{attribute}=["']([^"']*)["']""", 1)
+    found = _value(col(html), rf"(?is)<{tag}(?=\s)[^>]*?{_attribute(attribute)}")
     return F.nullif(unescape(found), F.lit(""))
 
 
 def meta_content(html: Column | str, name: str) -> Column:
-    """``content`` of the meta tag with this name or property."""
-    pattern = rf"""(?is)<meta\s+(?:name|property)=["']{name}["']\s+content=["']([^"']*)["']"""
-    return F.nullif(unescape(F.regexp_extract(col(html), pattern, 1)), F.lit(""))
+    """``content`` of the meta tag with this name or property, in any order of the attributes."""
+    named = rf"""(?=[^>]*?\s(?:name|property)\s*=\s*["']{name}["'])"""
+    return F.nullif(unescape(_value(col(html), rf"(?is)<meta(?=\s){named}[^>]*?{_attribute('content')}")), F.lit(""))
 
 
 def links(html: Column | str) -> Column:
     """Targets of all anchors, in order."""
-    return F.regexp_extract_all(col(html), F.lit(r"""<a\s[^>]*?href=["']([^"']*)["']"""), F.lit(1))
+    pattern = F.lit(rf"(?is)<a(?=\s)[^>]*?{_attribute('href')}")
+    first, second = (F.regexp_extract_all(col(html), pattern, F.lit(g)) for g in (1, 2))
+    return unescape_all(F.zip_with(first, second, lambda a, b: F.concat(a, b)))
 
 
 def visible_text(html: Column | str) -> Column:
     """Text without scripts, styles, comments and tags."""
-    bare = F.regexp_replace(col(html), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    return F.trim(F.regexp_replace(unescape(F.regexp_replace(bare, r"<[^>]*>", " ")), r"\s+", " "))
+    bare = F.regexp_replace(col(html), r"(?is)<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<!--.*?-->", " ")
+    return _plain(unescape(F.regexp_replace(bare, r"<[^>]*>", " ")))
 
 
 def extract_page(df: DataFrame, key: str, html: str) -> DataFrame:
@@ -140,13 +159,8 @@ def extract_items(df: DataFrame, key: str, html: str, item: tuple[str, str], fie
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k, page in zip(batch[key], batch[html]):
-                found = page_items(page, item, wanted)
-                if found:
-                    out = pd.DataFrame(found, columns=names)
-                    out.insert(0, "item", range(len(found)))
-                    out.insert(0, key, k)
-                    yield out
+            rows = [(k, n, *item_) for k, page in zip(batch[key], batch[html]) for n, item_ in enumerate(page_items(page, item, wanted))]
+            yield pd.DataFrame(rows, columns=[key, "item", *names])
 
     schema = f"`{key}` {key_type}, item int, " + ", ".join(f"`{n}` string" for n in names)
     return df.select(key, html).mapInPandas(parse, schema)

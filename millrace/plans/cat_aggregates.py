@@ -153,11 +153,11 @@ def _(t: Tables):
 @query(
     "ag_15_pivot_mean",
     "select event_type, "
-    + ", ".join(f'{rnd(f"avg(value) filter (where hour(ts) = {h})")} as "{h}"' for h in (0, 6, 12, 18))
+    + ", ".join(f'{rnd(f"avg(value) filter (where hour(ts) = {h})")} as "{h}"' for h in range(24))
     + " from events group by 1",
 )
 def _(t: Tables):
-    return X.pivot_mean(t.events.withColumn("hour", F.hour("ts")), "event_type", "hour", "value", [0, 6, 12, 18], ["view", "click", "signup", "purchase"])
+    return X.pivot_mean(t.events.withColumn("hour", F.hour("ts")), "event_type", "hour", "value", list(range(24)), ["view", "click", "signup", "purchase"])
 
 
 @query(
@@ -268,12 +268,12 @@ def _(t: Tables):
 @query(
     "ag_27_source_matrix",
     """with s as (select c_nationkey as k, 'customer' as source from customer union all select s_nationkey, 'supplier' from supplier)
-       select g.k, d.source, count(s.k) as n from (select unnest([0, 1, 2, 3, 77]) as k) g cross join (select unnest(['customer', 'supplier']) as source) d
+       select g.k, d.source, count(s.k) as n from (select unnest(list_append(range(25), 77)) as k) g cross join (select unnest(['customer', 'supplier']) as source) d
        left join s on s.k = g.k and s.source = d.source group by all""",
 )
 def _(t: Tables):
     a, b = t.customer.select(F.col("c_nationkey").alias("k")), t.supplier.select(F.col("s_nationkey").alias("k"))
-    return A.source_matrix({"customer": a, "supplier": b}, "k", [0, 1, 2, 3, 77])
+    return A.source_matrix({"customer": a, "supplier": b}, "k", [*range(25), 77])
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import funnel as N, quality as Q, rules as R
 from millrace.plans import marts as M
@@ -31,13 +33,14 @@ def _(t: Tables):
 
 @query(
     "rl_01_classify_by_table",
-    """with r as (select split_part(p_name, ' ', 1) as word, min(p_partkey) as ord, 'brand of ' || split_part(p_name, ' ', 1) as label from part where p_size > 40 group by 1)
+    """with r as (select split_part(p_name, ' ', 1) || case when p_size > 40 then '' else '#' end as word, min(p_partkey) as ord, 'brand of ' || word as label from part group by 1)
        select p_partkey, text, coalesce(arg_min(label, ord), 'none') as label from (select p_partkey, p_type || ' ' || p_name as text from part) left join r on contains(lower(text), word)
        group by all""",
 )
 def _(t: Tables):
-    word = F.split("p_name", " ")[0]
-    rules = t.part.where("p_size > 40").groupBy(word.alias("word")).agg(F.min("p_partkey").alias("ord"))
+    # a mark at the end makes words that occur nowhere
+    word = F.concat(F.split("p_name", " ")[0], F.when(F.col("p_size") > 40, "").otherwise("#"))
+    rules = t.part.groupBy(word.alias("word")).agg(F.min("p_partkey").alias("ord"))
     rules = rules.withColumn("label", F.concat(F.lit("brand of "), "word"))
     return R.classify_by_table(t.part.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("text")), "p_partkey", "text", rules, "none")
 
@@ -61,8 +64,8 @@ def _(t: Tables):
 
 @query(
     "rl_03_bridge",
-    """with cat as (select split_part(p_name, ' ', 2) as name, min(p_partkey) as ord, 'use of ' || split_part(p_name, ' ', 2) as note from part
-                    where split_part(p_name, ' ', 2) not in ('rod', 'plate') group by 1)
+    """with cat as (select split_part(p_name, ' ', 2) || case when split_part(p_name, ' ', 2) in ('rod', 'plate') then '#' else '' end as name, min(p_partkey) as ord, 'use of ' || name as note
+                    from part group by 1)
        select p_partkey, case when contains(p_name, 'ring') then 'ring' when contains(p_name, 'hot') or contains(p_name, 'red') then 'warm' else coalesce(arg_min(name, ord), 'unsorted') end as ingredient,
          case when contains(p_name, 'ring') then 'holds things' when contains(p_name, 'hot') or contains(p_name, 'red') then 'plain' else coalesce(arg_min(note, ord), 'plain') end as function,
          case when contains(p_name, 'hot') then 'HEAT' when contains(p_name, 'old') then 'AGE' else 'None' end as safety
@@ -70,7 +73,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     noun = F.split("p_name", " ")[1]
-    catalogue = t.part.groupBy(noun.alias("name")).agg(F.min("p_partkey").alias("ord")).where(~F.col("name").isin("rod", "plate"))
+    noun = F.when(noun.isin("rod", "plate"), F.concat(noun, F.lit("#"))).otherwise(noun)
+    catalogue = t.part.groupBy(noun.alias("name")).agg(F.min("p_partkey").alias("ord"))
     catalogue = catalogue.withColumn("note", F.concat(F.lit("use of "), "name"))
     out = R.bridge(
         t.part.select("p_partkey", "p_name"), "p_partkey", "p_name", KIND_RULES[:2], catalogue, "name", "ord", "note",
@@ -252,15 +256,15 @@ def _(t: Tables):
 # -------------------------------------------------------------------- marts
 
 
-def event_marts(t: Tables):
-    region = t.region.where("r_name <> 'AFRICA'")
-    dim = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    dim = dim.select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("area"), F.col("n_name").alias("place"))
+def event_marts(t: Tables, pin: bool = False):
+    dim = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    # keys moved by twenty leave events of twenty users without a match
+    dim = dim.select((F.col("c_custkey") + 20).alias("user_id"), F.col("r_name").alias("area"), F.col("n_name").alias("place"))
     fact = M.hourly_fact(t.events.select("event_id", "ts", "user_id", "event_type", "value"), "ts")
-    return M.build_marts(fact, dim, "user_id", "area", "place", "event_type", "value", ["event_id"])
+    return M.build_marts(fact, dim, "user_id", "area", "place", "event_type", "value", ["event_id"], pin=pin)
 
 
-FACT = """dim as (select c_custkey as user_id, r_name as area, n_name as place from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where r_name <> 'AFRICA'),
+FACT = """dim as (select c_custkey + 20 as user_id, r_name as area, n_name as place from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
   fact as (select event_id, ts, event_type, value, cast(hour(ts) as int) as hour, case when isodow(ts) >= 6 then 'weekend' else 'weekday' end as day_type, user_id,
     coalesce(area, 'unassigned') as area, coalesce(place, 'unassigned') as place from events left join dim using (user_id))"""
 
@@ -308,19 +312,46 @@ def _(t: Tables):
     return event_marts(t)["dimension"]
 
 
-@query("qc_02_published", level_sql("area, hour"))
+PUBLISHED = " union all ".join(
+    f"select '{name}' as mart, count(*) as n, {measure} as measure from ({body})"
+    for name, body, measure in [
+        ("area_hours", "select area, coalesce(day_type, 'all') as day_type, count(value) as n from fact group by grouping sets ((area, hour, day_type), (area, hour))", "cast(sum(n) as double)"),
+        ("place_hours", "select count(value) as n from fact group by grouping sets ((area, place, hour, day_type), (area, place, hour))", "cast(sum(n) as double)"),
+        ("categories", "select round_even(sum(value), 2) as total from fact group by area, place, event_type", rnd("sum(total)", 1)),
+        ("time_pattern", "select count(value) as n from fact group by area, place, hour", "cast(sum(n) as double)"),
+        ("sample", "select event_id from fact where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 1000 < 10", "cast(sum(event_id) as double)"),
+        ("dimension", "select user_id from dim", "cast(sum(user_id) as double)"),
+    ]
+)
+MEASURES = {"area_hours": "n", "place_hours": "n", "categories": "total", "time_pattern": "n", "sample": "event_id", "dimension": "user_id"}
+
+
+@query("qc_02_published", f"with {FACT} {PUBLISHED}")
 def _(t: Tables):
-    """All marts written in one go and one of them read back."""
+    """All marts written from one reduced table and read back."""
     folder = scratch_path(t.spark, "marts")
-    M.publish_marts(event_marts(t), folder)
-    return t.spark.read.parquet(f"{folder}/area_hours")
+    M.publish_marts(event_marts(t, pin=True), folder)
+    read = [t.spark.read.parquet(f"{folder}/{m}").agg(F.lit(m).alias("mart"), F.count(F.lit(1)).alias("n"), F.bround(F.sum(c).cast("double"), 1).alias("measure")) for m, c in MEASURES.items()]
+    return reduce(DataFrame.unionByName, read)
 
 
 # ---------------------------------------------------------------- streaming
 
 
+LATE = "ts < timestamp_ntz'2024-01-06 00:00:00' and event_id % 20 = 0"
+PARTS = [
+    f"ts < timestamp_ntz'2024-01-10 00:00:00' and not ({LATE})",
+    "ts >= timestamp_ntz'2024-01-10 00:00:00' and ts < timestamp_ntz'2024-01-20 00:00:00'",
+    f"ts >= timestamp_ntz'2024-01-20 00:00:00' or ({LATE})",
+]
+
+
 def event_stream(t: Tables):
-    return I.landed(t.spark, t.folder, t.events.schema, "events.parquet")
+    """All events, landed in three files, the last with rows that come late; one file a batch."""
+    folder = scratch_path(t.spark, "landing")
+    for n, part in enumerate(PARTS):
+        t.events.where(part).coalesce(1).write.parquet(f"{folder}/{n}")
+    return I.landed(t.spark, f"{folder}/*", t.events.schema, files_per_batch=1)
 
 
 @query("stm_01_dedup", "select distinct user_id, event_type from events")
@@ -340,12 +371,19 @@ def _(t: Tables):
     path, checkpoint = scratch_path(t.spark, "stream-upsert"), scratch_path(t.spark, "stream-state")
     keys, version = ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]
     I.stream_upsert(event_stream(t).select(*keys, "event_id", "ts", "value"), keys, version, path, checkpoint)
+    I.compact(t.spark, path, keys, version)
     return I.current(t.spark, path, keys, version)
 
 
-@query("stm_03_daily_counts", "select cast(ts as date) as day, event_type, count(*) as n from events group by all")
+@query(
+    "stm_03_daily_counts",
+    """select cast(ts as date) as day, event_type, count(*) as n from events
+       where not (ts < timestamp '2024-01-06' and event_id % 20 = 0)
+         and cast(ts as date) + interval 1 day <= (select max(ts) - interval 1 day from events) group by all""",
+)
 def _(t: Tables):
+    """Days that the watermark has closed; rows that come after it are dropped."""
     path, checkpoint = scratch_path(t.spark, "stream-daily"), scratch_path(t.spark, "stream-state")
     rows = event_stream(t).select("event_type", F.col("ts").cast("timestamp").alias("ts"))
-    I.drain(I.stream_daily_counts(rows, "ts", "event_type", "1 day"), path, checkpoint, mode="complete")
+    I.drain(I.stream_daily_counts(rows, "ts", "event_type", "1 day"), path, checkpoint)
     return t.spark.read.parquet(path)

@@ -47,19 +47,23 @@ def _(t: Tables):
     return t.lineitem.where("l_quantity >= 49").select("l_orderkey", "l_extendedprice")
 
 
-@query("src_04_zipped_csv", "select p_partkey, p_name, p_brand, p_retailprice from part")
+@query("src_04_zipped_csv", "select p_partkey, p_name || chr(10) || p_type as p_name, p_brand, p_retailprice from part")
 def _(t: Tables):
     def pack(batches):
-        for batch in batches:
+        for n, batch in enumerate(batches):
             blob = io.BytesIO()
             with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("parts.csv", batch.to_csv(index=False))
+                # two members with their columns in other orders and encodings
+                half = len(batch) // 2
+                archive.writestr("parts.csv", batch[:half].to_csv(index=False).encode("utf-8-sig"))
+                archive.writestr("more.csv", batch[half:][batch.columns[::-1]].to_csv(index=False).encode("cp949"))
                 archive.writestr("readme.txt", "not a table")
             yield pd.DataFrame({"content": [blob.getvalue()]})
 
-    archives = t.part.select("p_partkey", "p_name", "p_brand", "p_retailprice").mapInPandas(pack, "content binary")
-    lines = readers.unzip_lines(archives, "content", ".csv")
-    return readers.parse_lines(lines, "p_partkey long, p_name string, p_brand string, p_retailprice double")
+    name = F.concat("p_name", F.lit("\n"), "p_type")
+    archives = t.part.select("p_partkey", name.alias("p_name"), "p_brand", "p_retailprice").mapInPandas(pack, "content binary")
+    records = readers.unzip_records(archives, "content", ".csv", ["p_partkey", "p_name", "p_brand", "p_retailprice"], ["utf-8-sig", "cp949"])
+    return readers.typed(records, "p_partkey long, p_name string, p_brand string, p_retailprice double")
 
 
 @query("src_05_load_dimension", "select cast(s_suppkey as varchar) as s_suppkey, s_name, cast(s_nationkey as varchar) as s_nationkey from supplier")
@@ -94,13 +98,13 @@ def _(t: Tables):
 
 @query(
     "src_07_prebuilt_table",
-    "select event_type, cast(ts as date) as day, count(*) as n from events where event_type = 'view' group by all",
+    "select event_type, cast(ts as date) as day, count(*) as n from events group by all",
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "daily-mart")
     counts = t.events.groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     writers.publish(counts, path, ["event_type"])
-    return t.spark.read.parquet(path).where("event_type = 'view'").select("event_type", "day", "n")
+    return t.spark.read.parquet(path).select("event_type", "day", "n")
 
 
 @query("src_08_features", "select cast(c_custkey as varchar) as code, c_name as name, 'Point' as geometry_type from customer")
@@ -122,15 +126,15 @@ def _(t: Tables):
 @query("snk_01_write_csv", "select event_id, user_id, event_type, value from events")
 def _(t: Tables):
     path = scratch_path(t.spark, "sink-csv")
-    writers.write_csv(t.events.select("event_id", "user_id", "event_type", "value"), path)
+    writers.write_csv(t.events.select("event_id", "user_id", "event_type", "value"), path, mark=True)
     return readers.read_csv(t.spark, path, "event_id long, user_id long, event_type string, value double")
 
 
-@query("snk_02_publish", "select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'")
+@query("snk_02_publish", "select o_orderkey, o_totalprice, o_orderstatus from orders")
 def _(t: Tables):
     path = scratch_path(t.spark, "orders-by-status")
     writers.publish(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), path, ["o_orderstatus"])
-    return t.spark.read.parquet(path).where("o_orderstatus = 'F'")
+    return t.spark.read.parquet(path)
 
 
 SPLIT = "timestamp_ntz'2024-01-16 00:00:00'"
@@ -158,7 +162,13 @@ def _(t: Tables):
 def _(t: Tables):
     rows = t.events.select("user_id", "event_type", F.hour("ts").cast("long").alias("h"), "event_id", "ts")
     old, new = rows.where(f"ts < {SPLIT}"), rows.where(f"ts >= {SPLIT}")
-    return writers.insert_new(old, new, ["user_id", "event_type", "h"], [F.col("event_id")]).drop("ts")
+    added = writers.insert_new(old, new, ["user_id", "event_type", "h"], [F.col("event_id")])
+    path = scratch_path(t.spark, "inserted")
+    writers.publish(old, path)
+    n = writers.append_new(t.spark, path, new, ["user_id", "event_type", "h"], [F.col("event_id")])
+    table = t.spark.read.parquet(path).where(f"ts >= {SPLIT}").drop("ts")
+    # what was appended is what insert_new gives, and the number returned is its size
+    return table.join(added.select("event_id"), "event_id", "left_semi").where(F.lit(n) == added.count()).select("user_id", "event_type", "h", "event_id")
 
 
 @query("snk_05_json_records", "select cast(to_json({'p_partkey': p_partkey, 'p_name': p_name, 'p_size': p_size, 'p_retailprice': p_retailprice}) as varchar) as record from part")
@@ -333,10 +343,11 @@ def _(t: Tables):
 @query(
     "jn_01_enrich",
     """select c_custkey, coalesce(n_name, 'unassigned') as n_name, coalesce(n_regionkey, -1) as n_regionkey
-       from customer left join (select * from nation where n_regionkey <> 0) on c_nationkey = n_nationkey""",
+       from customer left join nation on c_nationkey = n_nationkey + 5""",
 )
 def _(t: Tables):
-    dim = t.nation.where("n_regionkey <> 0").withColumnRenamed("n_nationkey", "c_nationkey")
+    # keys moved by five leave customers of five nations without a match
+    dim = t.nation.select((F.col("n_nationkey") + 5).alias("c_nationkey"), "n_name", "n_regionkey")
     out = joins.enrich(t.customer.select("c_custkey", "c_nationkey"), dim, ["c_nationkey"], {"n_name": "unassigned", "n_regionkey": -1})
     return out.select("c_custkey", "n_name", "n_regionkey")
 
@@ -447,12 +458,12 @@ for _mode, _expr in {"null": "bal", "zero": "coalesce(bal, 0)", "mean": f"{rnd(f
 @query(
     "jn_08_densify",
     f"""with a as (select p_brand, p_name, p_size, sum(p_retailprice) as s, avg(p_retailprice) as m from part group by all),
-        k as (select * from (select distinct p_brand from part), (select distinct p_name from part), (select unnest([1, 2, 3, 99]) as p_size))
+        k as (select * from (select distinct p_brand from part), (select distinct p_name from part), (select unnest(range(1, 61)) as p_size))
         select p_brand, p_name, p_size, {rnd('coalesce(s, 0)', 2)} as s, {rnd('m')} as m from k left join a using (p_brand, p_name, p_size)""",
 )
 def _(t: Tables):
     agg = t.part.groupBy("p_brand", "p_name", "p_size").agg(F.bround(F.sum("p_retailprice"), 2).alias("s"), F.bround(F.avg("p_retailprice"), 6).alias("m"))
-    return joins.densify(agg, ["p_brand", "p_name", "p_size"], {"s": 0.0}, {"p_size": [1, 2, 3, 99]})
+    return joins.densify(agg, ["p_brand", "p_name", "p_size"], {"s": 0.0}, {"p_size": list(range(1, 61))})
 
 
 # ---------------------------------------------------------- set operations

@@ -128,9 +128,30 @@ def _(t: Tables):
     return S.welch_t(t.lineitem, F.col("l_returnflag") == "R", LINE_NUM, p_values=False)
 
 
-@query("sx_09_welch_t_p")
+def simpson(f: str, upper: str, table: str, keys: str, steps: int = 20_000) -> str:
+    """SQL: integral of ``f`` (over x) from 0 to ``upper`` for each row of ``table``."""
+    return f"""select {keys}, sum(h / 3 * case when i = 0 or i = {steps} then 1 when i % 2 = 1 then 4 else 2 end * ({f})) as area
+        from (select *, {upper} / {steps} as h, {upper} / {steps} * i as x from {table}, range({steps + 1}) g(i)) group by all"""
+
+
+T_PARTS = " union all ".join(
+    f"""select '{c}' as "column", n1, n0, m1 - m0 as d, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) as t,
+        (v1 / n1 + v0 / n0) ** 2 / ((v1 / n1) ** 2 / (n1 - 1) + (v0 / n0) ** 2 / (n0 - 1)) as k
+        from (select count({c}) filter (r) as n1, count({c}) filter (not r) as n0, avg({c}) filter (r) as m1, avg({c}) filter (not r) as m0,
+              var_samp({c}) filter (r) as v1, var_samp({c}) filter (not r) as v0 from (select *, l_returnflag = 'R' as r from lineitem))"""
+    for c in LINE_NUM
+)
+T_DENSITY = "exp(lgamma((k + 1) / 2) - lgamma(k / 2)) / sqrt(k * pi()) * (1 + x * x / k) ** (-(k + 1) / 2)"
+
+
+@query(
+    "sx_09_welch_t_p",
+    f"""with s as ({T_PARTS}), a as ({simpson(T_DENSITY, "least(abs(t), 40)", "s", '"column", n1, n0, d, t, k')})
+        select "column", n1, n0, {rnd('d')} as mean_diff, {rnd('t')} as t, {rnd('k')} as dof, {rnd('greatest(1 - 2 * area, 0)')} as p_value, 1 - 2 * area < 0.05 as significant from a""",
+)
 def _(t: Tables):
-    return S.welch_t(t.lineitem, F.col("l_returnflag") == "R", LINE_NUM)
+    out = S.welch_t(t.lineitem, F.col("l_returnflag") == "R", LINE_NUM)
+    return out.withColumn("p_value", F.bround("p_value", 6))
 
 
 CHI_COLS = ["lang", "source", "quality"]
@@ -151,9 +172,19 @@ def _(t: Tables):
     return S.chi2(t.documents.join(t.labels, "doc_id"), CHI_COLS, "toxic", p_values=False)
 
 
-@query("sx_10_chi2_p")
+# with u = sqrt(x) the density has no pole at 0
+CHI_DENSITY = "case when x = 0 then case when dof = 1 then sqrt(2 / pi()) else 0 end else exp((1 - dof / 2.0) * ln(2) - lgamma(dof / 2.0) + (dof - 1) * ln(x) - x * x / 2) end"
+
+
+@query(
+    "sx_10_chi2_p",
+    f"""with d as (select lang, source, quality, toxic from documents join labels using (doc_id)), s as ({CHI_SQL}),
+        a as ({simpson(CHI_DENSITY, "sqrt(chi2)", "s", '"column", n, dof, chi2')})
+        select "column", n, dof, chi2, {rnd('greatest(1 - area, 0)')} as p_value, 1 - area < 0.05 as significant from a""",
+)
 def _(t: Tables):
-    return S.chi2(t.documents.join(t.labels, "doc_id"), CHI_COLS, "toxic")
+    out = S.chi2(t.documents.join(t.labels, "doc_id"), CHI_COLS, "toxic")
+    return out.withColumn("p_value", F.bround("p_value", 6))
 
 
 def histogram_sql(source: str, v: str, bins: int, by: str = "", prob: bool = False) -> str:

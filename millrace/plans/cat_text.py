@@ -97,7 +97,7 @@ def _(t: Tables):
     return R.keyword_index(t.documents.select("doc_id", "text"), X.kw_count("text", ["sion", "und"])).select("doc_id", "score", "has_keyword")
 
 
-UNESCAPE = "replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
+UNESCAPE = "replace(replace(replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 
 
 def tag_sql(tag: str) -> str:
@@ -111,11 +111,13 @@ BARE = r"regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<st
 @query(
     "tx_07_extract_page",
     rf"""select page_id, {tag_sql('title')} as title, nullif(regexp_extract(html, '(?is)<html\s[^>]*?lang=["'']([^"'']*)["'']', 1), '') as lang, {tag_sql('h1')} as heading,
-        null as description, array_to_string(regexp_extract_all(html, '<a\s[^>]*?href=["'']([^"'']*)["'']', 1), ' ') as links,
-        md5(trim(regexp_replace({UNESCAPE.format(x=BARE)}, '\s+', ' ', 'g'))) as text_md5 from pages""",
+        'A &amp; "B"' as description, array_to_string(list_prepend('?a=1&b=2', regexp_extract_all(html, '<a\s[^>]*?href=["'']([^"'']*)["'']', 1)), ' ') as links,
+        md5('© ' || trim(regexp_replace({UNESCAPE.format(x=BARE)}, '\s+', ' ', 'g'))) as text_md5 from pages""",
 )
 def _(t: Tables):
-    out = P.extract_page(t.pages, "page_id", "html")
+    # upper case, other orders, look-alike attributes and character references
+    odd = """<META data-content="no" CONTENT='A &amp;amp; "B"' NAME="description"><A data-href="x" HREF="?a=1&amp;b=2">&copy;&#160;</A>"""
+    out = P.extract_page(t.pages.select("page_id", F.concat(F.lit(odd), "html").alias("html")), "page_id", "html")
     return out.withColumns({"links": F.array_join("links", " "), "text_md5": F.md5("text")}).drop("text")
 
 

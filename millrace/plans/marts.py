@@ -12,6 +12,7 @@ from millrace.operators.aggregates import group_median, with_keys
 from millrace.operators.crosstabs import ratio_index
 from millrace.operators.joins import densify, enrich, tiered_join
 from millrace.operators.ordering import sample_frac
+from millrace.session import pinned
 from millrace.sources.writers import publish
 
 
@@ -35,16 +36,18 @@ def level_means(fine: DataFrame, keys: Sequence[str], split: str, label: str, sc
 
 
 def build_marts(
-    fact: DataFrame, dim: DataFrame, on: str, area: str, place: str, category: str, value: str, sample_keys: Sequence[str], label: str = "all", missing: str = "unassigned"
+    fact: DataFrame, dim: DataFrame, on: str, area: str, place: str, category: str, value: str, sample_keys: Sequence[str], label: str = "all", missing: str = "unassigned", pin: bool = False
 ) -> dict[str, DataFrame]:
     """The pre-aggregates of an hourly fact by area and place.
 
     The fact is joined and reduced once to (area, place, category, hour, day
     type); the marts by hour, by place and by category are all read off that
-    table. Only the row sample goes back to the fact.
+    table, which ``pin`` writes once for all of them. Only the row sample goes
+    back to the fact.
     """
     rows = enrich(fact, dim, [on], {area: missing, place: missing})
     fine = rows.groupBy(area, place, category, "hour", "day_type").agg(F.count(value).alias("_n"), F.sum(value).alias("_s"))
+    fine = pinned(fine) if pin else fine
     by_hour = fine.groupBy(area, place, "hour").agg(F.sum("_n").alias("n"), F.sum("_s").alias("_s"))
     totals = fine.groupBy(area, place, category).agg(F.bround(F.sum("_s"), 2).alias("total"))
     return {

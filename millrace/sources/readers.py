@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # The encodings Spark's CSV reader takes.
@@ -18,13 +21,25 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, encoding: str = "UTF-8") -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType, encoding: str = "UTF-8", fallback: str | None = None) -> DataFrame:
     """CSV with a header line. A UTF-8 byte-order mark is dropped by the reader.
 
+    With a ``fallback`` the encoding is chosen file by file: UTF-8 where every
+    line of the file is valid UTF-8, else the fallback. Lines are tested on their
+    bytes, which stay with the executors. Without one, bytes that do not fit the
+    encoding raise an error.
+
     Other encodings that keep the ASCII characters (such as cp949) are read byte
     by byte as Latin-1, which can be split and parsed as usual, and the text
     columns are decoded afterwards.
     """
+    if fallback:
+        lines = spark.read.option("wholetext", False).option("encoding", "ISO-8859-1").text(path)
+        bad = ~F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string"))
+        odd = {r.f for r in lines.where(bad).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+        files = [r.f for r in lines.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+        parts = [(read_csv(spark, some, schema, code)) for some, code in (([f for f in files if f not in odd], encoding), (sorted(odd), fallback)) if some]
+        return reduce(DataFrame.unionByName, parts) if parts else read_csv(spark, path, schema, encoding)
     native = encoding.lower().replace("_", "-") in NATIVE_ENCODINGS
     rows = spark.read.schema(schema).option("header", True).option("encoding", encoding if native else "ISO-8859-1").csv(path)
     return rows if native else rows.withColumns({f.name: _decoded(encoding)(f.name) for f in rows.schema if isinstance(f.dataType, T.StringType)})
@@ -33,7 +48,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, encodin
 def _decoded(encoding: str):
     @F.pandas_udf(T.StringType())
     def decode(s: pd.Series) -> pd.Series:
-        return s.str.encode("latin-1").str.decode(encoding, errors="replace")
+        return s.str.encode("latin-1").str.decode(encoding)
 
     return decode
 
@@ -47,45 +62,78 @@ def read_many(spark: SparkSession, sources: Sequence[tuple[str, str | T.StructTy
     return out
 
 
-def unzip_lines(archives: DataFrame, content: str, suffix: str, encoding: str = "utf-8", chunk: int = 20_000) -> DataFrame:
-    """Text lines of the members of ZIP archives whose name ends in ``suffix``.
-
-    One task reads one archive, as a ZIP cannot be split, and hands its lines on
-    in chunks, so the unpacked text is never held whole. Each member's first
-    line, the header, is left out.
+def unzip_records(
+    archives: DataFrame, content: str, suffix: str, columns: Sequence[str], encodings: Sequence[str] = ("utf-8-sig",), chunk: int = 20_000
+) -> DataFrame:
+    """CSV records of the members of ZIP archives whose name ends in ``suffix``, as text columns.
+
+    Members are parsed as CSV, so quoted fields may hold line breaks, and fields
+    are matched by the names in the header; a column a member lacks is null. The
+    first of ``encodings`` that decodes a whole member is taken. ``content`` holds
+    an archive, or the path of one that the task opens, which has no size limit.
+    One task reads one archive, as a ZIP cannot be split, and hands records on in
+    chunks, so the unpacked text is never held whole.
     """
+    names = list(columns)
+
+    def encoding_of(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> str:
+        for encoding in encodings:
+            try:
+                with archive.open(info) as raw, io.TextIOWrapper(raw, encoding=encoding) as text:
+                    while text.read(1 << 20):
+                        pass
+                return encoding
+            except UnicodeDecodeError:
+                continue
+        raise ValueError(f"{info.filename} is in none of the encodings {list(encodings)}")
+
+    def opened(source):
+        if isinstance(source, str):
+            store, path = pafs.FileSystem.from_uri(source)
+            return store.open_input_file(path)
+        return io.BytesIO(source)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(1 << 30)
         for batch in batches:
-            for blob in batch[content]:
-                with zipfile.ZipFile(io.BytesIO(blob)) as archive:
+            for source in batch[content]:
+                with opened(source) as file, zipfile.ZipFile(file) as archive:
                     for info in archive.infolist():
                         if not info.filename.endswith(suffix):
                             continue
-                        with archive.open(info) as raw:
-                            text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                            next(text, None)
-                            lines: list[str] = []
-                            for line in text:
-                                lines.append(line.rstrip("\r\n"))
-                                if len(lines) >= chunk:
-                                    yield pd.DataFrame({"member": info.filename, "line": lines})
-                                    lines = []
-                            if lines:
-                                yield pd.DataFrame({"member": info.filename, "line": lines})
-
-    return archives.select(content).mapInPandas(read, "member string, line string")
-
-
-def parse_lines(lines: DataFrame, schema: str, line: str = "line") -> DataFrame:
-    """CSV text lines as columns."""
-    return lines.select(F.from_csv(F.col(line), F.lit(schema)).alias("r")).select("r.*")
-
-
-def read_zipped_csv(spark: SparkSession, path: str, suffix: str, schema: str, encoding: str = "utf-8") -> DataFrame:
-    """CSV members of one or many ZIP archives as one table."""
-    archives = spark.read.format("binaryFile").load(path)
-    return parse_lines(unzip_lines(archives, "content", suffix, encoding), schema)
+                        encoding = encoding_of(archive, info)
+                        with archive.open(info) as raw, io.TextIOWrapper(raw, encoding=encoding, newline="") as text:
+                            records = csv.reader(text)
+                            header = [h.strip() for h in next(records, [])]
+                            places = [header.index(n) if n in header else -1 for n in names]
+                            rows: list[list[str | None]] = []
+                            for record in records:
+                                if not record:
+                                    continue
+                                rows.append([info.filename, *(record[p] if 0 <= p < len(record) and record[p] != "" else None for p in places)])
+                                if len(rows) >= chunk:
+                                    yield pd.DataFrame(rows, columns=["member", *names])
+                                    rows = []
+                            if rows:
+                                yield pd.DataFrame(rows, columns=["member", *names])
+
+    return archives.select(content).mapInPandas(read, "member string, " + ", ".join(f"`{n}` string" for n in names))
+
+
+def typed(records: DataFrame, schema: str | T.StructType) -> DataFrame:
+    """Text columns cast to a schema; text that does not fit becomes null."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return records.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
+
+
+def read_zipped_csv(spark: SparkSession, path: str, suffix: str, schema: str, encodings: Sequence[str] = ("utf-8-sig",)) -> DataFrame:
+    """CSV members of one or many ZIP archives as one table.
+
+    Only the archives' paths are listed here; each is opened by the task that
+    reads it, so archives may be larger than a binary cell.
+    """
+    paths = spark.read.format("binaryFile").load(path).select("path")
+    return typed(unzip_records(paths, "path", suffix, T.StructType.fromDDL(schema).names, encodings), schema)
 
 
 def load_dimension(df: DataFrame, marker_column: str, marker: str, keys: Sequence[str]) -> DataFrame:

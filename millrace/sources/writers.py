@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with header lines."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+MARK = "\ufeff"  # fixed value: the byte-order mark by which spreadsheets know UTF-8
+
+
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """A folder of CSV files with header lines, with a byte-order mark in front if asked."""
+    out = df.withColumnRenamed(df.columns[0], MARK + df.columns[0]) if mark else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -48,6 +52,14 @@ def upsert_latest(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
 def insert_new(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The rows of ``new`` whose key is not in ``old``, the first of each key winning.
 
-    Append the result to ``old``; its count is the number of rows added.
+    Append the result to ``old``, or let :func:`append_new` do both.
     """
     return one_per_key(new, keys, order).join(old.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def append_new(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> int:
+    """Append the rows of ``new`` with unknown keys to a Parquet table; returns how many were added."""
+    old = spark.read.schema(new.schema).parquet(path)
+    count = Observation()
+    insert_new(old, new, keys, order).observe(count, F.count(F.lit(1)).alias("added")).write.mode("append").parquet(path)
+    return count.get["added"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -31,44 +32,54 @@ def stream_daily_counts(sdf: DataFrame, ts: str, key: str, delay: str) -> DataFr
     return days.select(F.col("window.start").cast("date").alias("day"), key, "n")
 
 
-def drain(sdf: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything landed so far into a Parquet table and stop.
+def drain(sdf: DataFrame, path: str, checkpoint: str) -> None:
+    """Append everything landed so far to a Parquet table and stop.
 
-    In ``complete`` mode each batch replaces the table; in ``update`` mode it
-    adds a folder per batch, from which :func:`current` takes the newest rows.
+    The file sink lists what each batch has committed, so a repeated batch adds
+    nothing twice and a failed one leaves the table as it was.
     """
-    writer = sdf.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if mode == "append":
-        query = writer.format("parquet").option("path", path).start()
-    elif mode == "complete":
-        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
-    else:
-        query = writer.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}")).start()
-    query.awaitTermination()
+    sdf.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start().awaitTermination()
 
 
 def stream_upsert(sdf: DataFrame, keys: Sequence[str], version: Sequence[Column], path: str, checkpoint: str) -> None:
     """Land the latest record per key of every batch, then stop.
 
-    A batch writes only its own folder, and a repeated batch replaces that same
-    folder, so a lost executor or driver neither loses nor doubles records, and
-    the work of a batch does not grow with the table. :func:`current` reads the
-    merged state; :func:`compact` folds the batches together.
+    A batch writes only its own folder, named after the checkpoint and its
+    number: a repeated batch replaces that same folder, and a stream that lost
+    its checkpoint lands under new names and overwrites nothing. ``landed`` says
+    when a row came. :func:`current` reads the merged state; :func:`compact`
+    folds the folders of the same table together while the stream goes on.
     """
 
     def land(batch: DataFrame, n: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         newest = one_per_key(batch, keys, [v.desc() for v in version])
-        newest.write.mode("overwrite").parquet(f"{path}/batch={n}")
+        newest.withColumn("landed", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/batch={run}-{n}")
 
     sdf.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _merged(rows: DataFrame, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:
+    return one_per_key(rows, keys, [*[v.desc() for v in version], F.col("landed").desc()])
+
+
 def current(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:
-    """The latest record per key over all landed batches; of equal versions the later batch wins."""
-    rows = spark.read.parquet(path)
-    return one_per_key(rows, keys, [*[v.desc() for v in version], F.col("batch").desc()]).drop("batch")
+    """The latest record per key over all landed batches; of equal versions the one landed last wins."""
+    return _merged(spark.read.parquet(path), keys, version).drop("batch", "landed")
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[Column], target: str) -> None:
-    """The merged state as one new table of the same layout."""
-    current(spark, path, keys, version).write.mode("overwrite").parquet(f"{target}/batch=-1")
+def compact(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[Column]) -> None:
+    """Fold the batches landed so far into one folder of the same table.
+
+    The merged folder is complete before the folders it replaces go, and rows
+    that are in both meanwhile are merged by every reader, so neither a failure
+    nor a stream that lands more batches meanwhile changes the state.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in store.listStatus(root) if f.isDirectory() and f.getPath().getName().startswith("batch=")]
+    rows = spark.read.option("basePath", path).parquet(*[p.toString() for p in old])
+    _merged(rows, keys, version).drop("batch").write.parquet(f"{path}/batch=merged-{uuid.uuid4().hex}")
+    for folder in old:
+        store.delete(folder, True)

@@ -40,8 +40,15 @@ def test_upsert_continues_where_it_stopped(spark, tmp_path):
         got = {r["k"]: r["v"] for r in I.current(spark, path, ["k"], version).collect()}
         rows = sorted((x for f in FILES[:upto] for x in f), key=lambda r: (r[2], r[1]))
         assert got == {k: v for k, v, _ in rows}
-    I.compact(spark, path, ["k"], version, str(tmp_path / "compact"))
-    assert {r["k"]: r["v"] for r in I.current(spark, str(tmp_path / "compact"), ["k"], version).collect()} == got
+    I.compact(spark, path, ["k"], version)
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 1
+    assert {r["k"]: r["v"] for r in I.current(spark, path, ["k"], version).collect()} == got
+    # the stream goes on in the compacted table, and without its checkpoint lands again without harm
+    land(spark, tmp_path, 4)
+    for state in (check, str(tmp_path / "other")):
+        I.stream_upsert(source(spark, tmp_path), ["k"], version, path, state)
+        got = {r["k"]: r["v"] for r in I.current(spark, path, ["k"], version).collect()}
+        assert got == {k: v for k, v, _ in sorted((x for f in FILES for x in f), key=lambda r: (r[2], r[1]))}
 
 
 def test_dedup_over_batches(spark, tmp_path):
