@@ -34,9 +34,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructT
     columns are decoded afterwards.
     """
     if fallback:
-        lines = spark.read.option("wholetext", False).option("encoding", "ISO-8859-1").text(path)
-        bad = ~F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string"))
-        odd = {r.f for r in lines.where(bad).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+        lines = spark.read.text(path)
+        odd = {r.f for r in lines.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
         files = [r.f for r in lines.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
         parts = [(read_csv(spark, some, schema, code)) for some, code in (([f for f in files if f not in odd], encoding), (sorted(odd), fallback)) if some]
         return reduce(DataFrame.unionByName, parts) if parts else read_csv(spark, path, schema, encoding)

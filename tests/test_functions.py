@@ -59,7 +59,7 @@ def test_text(spark):
     assert one(spark, "http://www.a.b/c", lambda c: X.domain(c, "?")) == "a.b"
     assert one(spark, None, lambda c: X.domain(c, "?")) == "?"
     for bad in (None, "", " nan ", "ftp://x", "0"):
-        assert one(spark, bad, lambda c: X.clean_url(c, "d")) == "d"
+        assert one(spark, bad, lambda c: X.clean_url(c, "d", fillers=["nan", "0"])) == "d"
     assert one(spark, " http://x ", lambda c: X.clean_url(c, "d")) == "http://x"
 
 
@@ -82,7 +82,18 @@ def test_scores(spark):
     assert got == [(10.5, 20.25)] + [(None, None)] * 4
 
 
+def test_numbers(spark):
+    for text, want in [("12d", None), ("1.5f", None), ("1e3", 1000.0), (" -2.5 ", -2.5), ("Infinity", None), ("NaN", None), (".5", 0.5), ("5.", 5.0), ("0x10", None), (None, None), ("", None)]:
+        assert one(spark, text, C.to_number) == want
+    for value, want in [("$ 1,234.50", 1234.5), (" n/a ", None), ("1.2.3", None), (None, None), ("12345678.0", 12345678.0)]:
+        assert one(spark, value, C.clean_numeric) == want
+    assert one(spark, 12345678.0, C.clean_numeric, "double") == 12345678.0
+    assert one(spark, 1e-7, C.clean_numeric, "double") == 1e-7
+
+
 def test_first_object():
+    assert P.first_object('f({x}); y = {"k": [1, {"a": "{"}]} z') == '{"k": [1, {"a": "{"}]}'
+    assert P.first_object('\\{"a": 1}') == '{"a": 1}'
     assert P.first_object('x={"a":"}{","b":{"c":1}};{}') == '{"a":"}{","b":{"c":1}}'
     assert P.first_object('{"a":"\\"}"}') == '{"a":"\\"}"}'
     for bad in (None, "", "no", "{", '{"a":"}'):

@@ -208,6 +208,58 @@ def test_page_items():
     assert P.page_items(None, ("li", ""), fields) == [] and P.page_items("<p>", ("li", ""), fields) == []
 
 
+def test_pages_as_browsers_read_them(spark):
+    html = """<HTML data-lang="x" LANG='ko'><HEAD><TITLE>A &amp; B &copy; &#8217;&#x41;</TITLE ><META content="it's &lt;ok&gt;" data-x="1" NAME='description'>
+              <a data-href="no" href="?a=1&amp;b=2">x</a><A HREF='/y'>y</A><area href="/area"><h1 class="a">H&eacute;</h1>&nbsp;z"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "k int, h string")
+    rows = {r["k"]: r for r in P.extract_page(df, "k", "h").collect()}
+    r = rows[1]
+    assert (r["title"], r["lang"], r["description"], r["links"], r["heading"]) == ("A & B © ’A", "ko", "it's <ok>", ["?a=1&b=2", "/y"], "Hé")
+    assert r["text"].endswith("Hé z") and rows[2]["title"] is None and rows[3]["links"] == []
+
+
+def test_crosstab_totals_count_unlisted_values(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "z"), ("b", "z"), (None, "x")], "r string, c string")
+    got = {r["r"]: (r["x"], r["total"]) for r in X.crosstab(df, "r", "c", ["x"], margins=True).collect()}
+    assert got == {"a": (1, 3), "b": (0, 1), "total": (1, 4)}
+
+
+def test_csv_encodings_marks_and_archives(spark, tmp_path):
+    import io
+    import zipfile
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes("k,v\n1,한글\n".encode("utf-8-sig"))
+    (tmp_path / "in" / "b.csv").write_bytes("k,v\n2,한글\n".encode("cp949"))
+    got = readers.read_csv(spark, str(tmp_path / "in"), "k int, v string", fallback="cp949")
+    assert sorted(map(tuple, got.collect())) == [(1, "한글"), (2, "한글")]
+    with pytest.raises(Exception, match="decode"):
+        readers.read_csv(spark, str(tmp_path / "in" / "a.csv"), "k int, v string", encoding="cp949").collect()
+
+    writers.write_csv(got, str(tmp_path / "out"), mark=True)
+    first = [f.read_bytes()[:3] for f in (tmp_path / "out").glob("*.csv")]
+    assert first and set(first) == {b"\xef\xbb\xbf"}
+    assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "out"), "k int, v string").collect())) == [(1, "한글"), (2, "한글")]
+
+    blob = io.BytesIO()
+    with zipfile.ZipFile(blob, "w") as z:
+        z.writestr("a.csv", 'k,v\n1,"one\ntwo"\n2,x\n'.encode("utf-8-sig"))
+        z.writestr("b.csv", 'v,other,k\n한글,?,3\n,,4\n'.encode("cp949"))
+        z.writestr("c.txt", "no")
+    (tmp_path / "z.zip").write_bytes(blob.getvalue())
+    got = readers.read_zipped_csv(spark, str(tmp_path / "z.zip"), ".csv", "k int, v string", ["utf-8-sig", "cp949"])
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [(1, "one\ntwo"), (2, "x"), (3, "한글"), (4, None)]
+
+
+def test_append_new_returns_the_number_added(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(path)
+    new = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e"), (4, "f")], "k int, v string")
+    assert writers.append_new(spark, path, new, ["k"], [F.col("v")]) == 2
+    assert writers.append_new(spark, path, new, ["k"], [F.col("v")]) == 0
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b"), (3, "d"), (4, "f")]
+
+
 def test_duplicates_and_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, None)], "k int, v string")
     rep = {r["key_set"]: tuple(r)[1:] for r in A.duplicate_report(df, {"all": ["k", "v"], "k": ["k"]}).collect()}
