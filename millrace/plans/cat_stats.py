@@ -156,7 +156,7 @@ def _(t: Tables):
 
 CHI_COLS = ["lang", "source", "quality"]
 CHI_SQL = " union all ".join(
-    f"""select '{c}' as "column", any_value(n) as n, any_value(dof) as dof, {rnd('sum((gap - case when dof = 1 then least(0.5, gap) else 0 end) ** 2 / e)')} as chi2 from (
+    f"""select '{c}' as "column", any_value(n) as n, any_value(dof) as dof, sum((gap - case when dof = 1 then least(0.5, gap) else 0 end) ** 2 / e) as chi2 from (
         select n, dof, e, abs(o - e) as gap from (
           select r.c * s.c * 1.0 / tot.n as e, tot.n as n, (nr - 1) * (nc - 1) as dof, coalesce(x.c, 0) as o
           from (select {c} as k, count(*) as c from d group by 1) r cross join (select toxic as k, count(*) as c from d group by 1) s
@@ -164,10 +164,10 @@ CHI_SQL = " union all ".join(
           left join (select {c} as a, toxic as b, count(*) as c from d group by all) x on x.a = r.k and x.b = s.k))"""
     for c in CHI_COLS
 )
-CHI_SQL = f"with d as (select lang, source, quality, toxic from documents join labels using (doc_id)) {CHI_SQL}"
+CHI_SQL = f"with d as (select lang, source, quality, toxic from documents join labels using (doc_id)), s as ({CHI_SQL})"
 
 
-@query("sx_10_chi2", CHI_SQL)
+@query("sx_10_chi2", f"""{CHI_SQL} select "column", n, dof, {rnd('chi2')} as chi2 from s""")
 def _(t: Tables):
     return S.chi2(t.documents.join(t.labels, "doc_id"), CHI_COLS, "toxic", p_values=False)
 
@@ -178,9 +178,8 @@ CHI_DENSITY = "case when x = 0 then case when dof = 1 then sqrt(2 / pi()) else 0
 
 @query(
     "sx_10_chi2_p",
-    f"""with d as (select lang, source, quality, toxic from documents join labels using (doc_id)), s as ({CHI_SQL}),
-        a as ({simpson(CHI_DENSITY, "sqrt(chi2)", "s", '"column", n, dof, chi2')})
-        select "column", n, dof, chi2, {rnd('greatest(1 - area, 0)')} as p_value, 1 - area < 0.05 as significant from a""",
+    f"""{CHI_SQL}, a as ({simpson(CHI_DENSITY, "sqrt(chi2)", "s", '"column", n, dof, chi2')})
+        select "column", n, dof, {rnd('chi2')} as chi2, {rnd('greatest(1 - area, 0)')} as p_value, 1 - area < 0.05 as significant from a""",
 )
 def _(t: Tables):
     out = S.chi2(t.documents.join(t.labels, "doc_id"), CHI_COLS, "toxic")
