@@ -9,6 +9,7 @@ bigram is built. All steps are built-in expressions.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,54 +44,64 @@ TEMPLATES = {
 WORD = r"[a-z0-9]+"
 
 
-def _words(unit: Column) -> Column:
-    """Normalised words: lower case, letters and digits of ASCII, British spelling as American."""
-    return F.regexp_extract_all(F.replace(F.lower(unit), F.lit("licence"), F.lit("license")), F.lit(WORD), F.lit(0))
+def _plain(text: Column) -> Column:
+    """Lower case, British spelling as American."""
+    return F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
 
 
-def _bigrams(words: Column) -> Column:
-    """Distinct bigrams as 64-bit hashes."""
-    pairs = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
-    return F.array_distinct(pairs)
+def _bigrams(unit: Column) -> Column:
+    """Bigrams of the words of ASCII letters and digits, as 64-bit hashes."""
+    words = F.regexp_extract_all(unit, F.lit(WORD), F.lit(0))
+    return F.transform(F.array(words), lambda w: F.transform(F.slice(w, 1, F.size(w) - 1), lambda x, i: F.xxhash64(x, F.get(w, i + 1))))[0]
 
 
 def _template_table(templates: dict[str, list[str]]) -> tuple[Column, list[int]]:
-    """All templates as one constant array of (name, bigrams, n), and their sizes."""
+    """All templates as one constant array of (name, bigrams with their counts, n), and their sizes."""
     rows = []
     for name, texts in templates.items():
         for text in texts:
             words = re.findall(WORD, text.lower().replace("licence", "license"))
-            grams = list(dict.fromkeys(zip(words, words[1:])))
+            grams = Counter(zip(words, words[1:]))
             if grams:
                 rows.append((name, grams))
-    return F.array(*(F.struct(F.lit(name).alias("name"), F.array(*(F.xxhash64(F.lit(a), F.lit(b)) for a, b in grams)).alias("bigrams"), F.lit(len(grams)).alias("n")) for name, grams in rows)), [len(g) for _, g in rows]
+    table = F.array(*(
+        F.struct(
+            F.lit(name).alias("name"), F.array(*(F.xxhash64(F.lit(a), F.lit(b)) for a, b in grams)).alias("bigrams"),
+            F.array(*map(F.lit, grams.values())).alias("counts"), F.lit(grams.total()).alias("n"),
+        ) for name, grams in rows
+    ))
+    return table, [g.total() for _, g in rows]
 
 
 def license_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, matches: array of (unit, name, dice), best first.
+    """Per row: doc_id, matches: array of (dice, name), best first.
 
-    Every unit is matched with its best template at or above ``threshold``; ties
-    go to the last name. Null and empty texts have no matches; null ids are
-    carried along; repeated rows get equal results; an empty table gives none;
-    other columns are ignored.
+    Every distinct unit is matched with its best template at or above
+    ``threshold``; ties go to the last name. Bigrams count as often as they
+    occur. Null and empty texts have no matches; null ids are carried along;
+    repeated rows get equal results; an empty table gives none; other columns
+    are ignored.
     """
     table, sizes = _template_table(templates or TEMPLATES)
     ratio = (2 - threshold) / threshold
     least, most = min(sizes) / ratio, max(sizes) * ratio
-    d = only(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    lines, parts = F.split("text", "\n"), F.split("text", r"\n[ \t]*\n")
-    several = F.filter(parts, lambda p: p.contains("\n"))
-    units = F.array_distinct(F.concat(lines, several, F.when(F.contains("text", F.lit("\n")), F.array("text")).otherwise(F.array().cast("array<string>"))))
-    # a unit has fewer distinct bigrams than words, and repeated ones can only lower their number
-    d = d.select("doc_id", F.filter(units, lambda u: F.length(u) >= least).alias("units"))
-    words = F.filter(F.transform("units", _words), lambda w: F.size(w) > least)
-    grams = F.filter(F.transform(words, _bigrams), lambda b: F.size(b).between(least, most))
-    d = d.select("doc_id", grams.alias("grams"))
+    d = only(docs, doc_id=doc_id, text=text).withColumn("text", _plain(F.coalesce("text", F.lit(""))))
+    lines, parts = F.split("text", "\n"), F.filter(F.split("text", r"\n[ \t]*\n"), lambda p: p.contains("\n"))
+    whole = F.when(F.contains("text", F.lit("\n")), F.array("text")).otherwise(F.array().cast("array<string>"))
+    # n bigrams are n + 1 words: most units are out of every template's bounds and never cut into bigrams
+    fits = lambda u: (F.length(u) >= 2 * least) & (F.regexp_count(u, F.lit(WORD)) - 1).between(least, most)
+    units = F.array_distinct(F.concat(*(F.filter(u, fits) for u in (lines, parts, whole))))
+    d = d.select("doc_id", F.transform(units, _bigrams).alias("grams"))
+
+    def overlap(b: Column, t: Column) -> Column:
+        """Common bigrams, each as often as both have it."""
+        common = F.transform(t["bigrams"], lambda g, i: F.least(F.get(t["counts"], i), F.size(F.filter(b, lambda x: x == g))))
+        return F.when(F.arrays_overlap(b, t["bigrams"]), F.aggregate(common, F.lit(0), lambda n, x: n + x)).otherwise(0)
 
     def best(b: Column) -> Column:
         n = F.size(b)
         near = F.filter(table, lambda t: (n >= t["n"] / ratio) & (n <= t["n"] * ratio))
-        scored = F.transform(near, lambda t: F.struct((2.0 * F.size(F.array_intersect(b, t["bigrams"])) / (n + t["n"])).alias("dice"), t["name"].alias("name")))
+        scored = F.transform(near, lambda t: F.struct((2.0 * overlap(b, t) / (n + t["n"])).alias("dice"), t["name"].alias("name")))
         return F.array_max(F.filter(scored, lambda s: s["dice"] >= threshold))
 
     found = F.filter(F.transform("grams", best), lambda s: s.isNotNull())

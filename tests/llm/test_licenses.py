@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from helpers import awkward_docs, frame
 from millrace.llm import licenses
@@ -11,7 +12,7 @@ def words(text):
 
 def grams(text):
     w = words(text)
-    return set(zip(w, w[1:]))
+    return Counter(zip(w, w[1:]))
 
 
 TEMPLATES = [(name, grams(t)) for name, texts in licenses.TEMPLATES.items() for t in texts]
@@ -19,8 +20,9 @@ TEMPLATES = [(name, grams(t)) for name, texts in licenses.TEMPLATES.items() for
 
 def matches(text):
     text = text or ""
+    text = text.lower().replace("licence", "license")
     units = set(text.split("\n")) | {p for p in re.split(r"\n[ \t]*\n", text) if "\n" in p} | ({text} if "\n" in text else set())
-    best = [max((2 * len(g & t) / (len(g) + len(t)), name) for name, t in TEMPLATES) for u in units if (g := grams(u))]
+    best = [max((2 * (g & t).total() / (g.total() + t.total()), name) for name, t in TEMPLATES) for u in units if (g := grams(u))]
     return sorted(((round(d, 9), n) for d, n in best if d >= licenses.THRESHOLD), reverse=True)
 
 
