@@ -33,9 +33,10 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
 
 
 def once_per_worker(key: tuple, make: Callable):
-    """``make()``, kept for later tasks of the same Python worker."""
+    """``make()``, kept for later tasks of the same Python worker until another thing is wanted."""
     kept = sys.__dict__.setdefault("_millrace_kept", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 
@@ -43,3 +44,23 @@ def once_per_worker(key: tuple, make: Callable):
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names; all others are left out."""
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))
+
+
+FILTER_BITS = 1 << 23
+
+
+def roughly_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``ids``, before an exact join shuffles them.
+
+    A bitmap of the ids' hashes is broadcast: at most ``FILTER_BITS`` / 64 rows
+    of two numbers, however many ids there are. No id is lost; others pass by chance.
+    """
+
+    def place(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS)).cast("int")
+
+    (name,) = ids.columns
+    bits = ids.select(place(name).alias("p")).groupBy(F.shiftright("p", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, p & 63)")).alias("_bits"))
+    marked = df.withColumn("_place", place(column)).withColumn("_word", F.shiftright("_place", 6))
+    hit = F.expr("(shiftrightunsigned(_bits, _place & 63) & 1) = 1")
+    return marked.join(F.broadcast(bits), "_word").where(hit).drop("_word", "_place", "_bits")
