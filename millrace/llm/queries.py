@@ -26,7 +26,31 @@ def query(key: str, sql: str | None = None):
     return register
 
 
-@query("op1_near_duplicates")
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COMPONENTS = rf"""with recursive w as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+  s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as x from w),
+  n as (select doc_id, count(*) as n from s group by 1),
+  p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b using (x) where a.doc_id < b.doc_id group by all),
+  l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+  e as (select a, b from l union all select b, a from l),
+  r(doc_id, c) as (select doc_id, doc_id from documents union select e.b, r.c from r join e on e.a = r.doc_id),
+  m as (select doc_id, min(c) as component_id from r group by 1)
+  select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from m left join n using (doc_id)"""
+
+PASSAGES = rf"""with d as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+  b as (select item_id, w, least(10, len(w)) as k from (select item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark) where len(w) > 0),
+  v as (select distinct item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as x from b),
+  p as (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, (select distinct k from v)),
+  h as (select doc_id, i, k, item_id from (select *, array_to_string(w[i:i + k - 1], ' ') as x from p) join v using (k, x)),
+  c as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + k)) as j from h) group by 1),
+  t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from h) group by 1)
+  select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+  from d left join c using (doc_id) left join t using (doc_id)"""
+
+
+@query("op1_near_duplicates", COMPONENTS)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
@@ -70,7 +94,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(docs, ["domain", "lang", "source"], [DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, {}], max_epochs=4, seed=6)
 
 
-@query("op7_benchmark_passages")
+@query("op7_benchmark_passages", PASSAGES)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
