@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.llm.shared import only, written
+from millrace.operators.joins import salted_join
 
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 4096  # cells of a permutation in each of two narrowing steps
@@ -106,7 +107,8 @@ def mixture(
     budget = F.floor(F.col("budget") + 1e-6)
     epochs = F.when(F.col("tokens") > 0, F.floor(budget / F.col("tokens"))).otherwise(F.lit(0)).cast("long")
     budgets = budgets.select(*leaf, epochs.alias("epochs"), (budget - epochs * F.col("tokens")).alias("rest"))
-    d = d.join(budgets, leaf).withColumn("h", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id")))
+    # a hot leaf's documents meet its budget in as many tasks as a shuffle has
+    d = salted_join(d, budgets, leaf, "doc_id").withColumn("h", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id")))
     # a whole corpus with no tokens has nothing to open
     d = d.withColumns({"taken": F.lit(False), "open": F.col("rest") > 0, "skipped": F.lit(0).cast("long")})
     d = _prefix(d, leaf)
