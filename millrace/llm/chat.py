@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.shared import only, written
+from millrace.llm.shared import light_batches, only, written
 
 PIECE = 1024
 PIECE_CHARS = 4_000_000
@@ -199,6 +199,7 @@ def format_chats(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
     conv_id are one conversation; an empty table gives none; other columns are
     ignored.
     """
+    light_batches(conversations.sparkSession)
     turns = only(conversations, conv_id=conv_id, turn=turn, role=role, text=text)
     turns = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     # equal rows may be told apart for the deal, as any order of them gives the same result

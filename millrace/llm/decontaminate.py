@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.fm_index import FMIndex
-from millrace.llm.shared import only, written
+from millrace.llm.shared import hand_back, light_batches, only, written
 
 WINDOW = 10
 BLOCK_WORDS = 400_000
@@ -176,6 +176,7 @@ def _marked(docs: DataFrame, phrases: Phrases, keep_text: bool) -> DataFrame:
                         rows, shard, kept, size = [], [], 0, 0
         if rows:
             yield flush(rows, shard, batch.schema)
+        hand_back()
 
     return docs.mapInArrow(mark, schema)
 
@@ -192,6 +193,7 @@ def marked_documents(
     leaves every document clean. Only the named columns are read; those of
     ``carry`` come back in the struct ``rest``.
     """
+    light_batches(docs.sparkSession)
     rest = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("rest")] if carry else []
     out = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), *rest)
     blocks = phrase_blocks(benchmark, item_id, item_text, window, block_words)

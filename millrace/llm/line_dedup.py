@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.shared import discard, only, written
+from millrace.llm.shared import discard, light_batches, only, written
 
 WINDOW = 2
 DIVISOR = 3
@@ -102,6 +102,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     a doc_id count as one document, so equal ones keep their text; an empty table
     gives none; other columns are ignored.
     """
+    light_batches(docs.sparkSession)
     docs = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     usable = docs.where("doc_id is not null and text is not null")
     found = written(_digests(usable), "chunks")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 
@@ -13,6 +14,20 @@ from millrace.session import scratch_path
 SPACES = " \t\n\x0b\x0c\r"
 
 
+BATCH_ROWS = 500
+
+
+def light_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of ``BATCH_ROWS`` rows at most, for the rest of the session.
+
+    Batches of the default 10,000 documents take a hundred megabytes and more on
+    either side of every task. A smaller setting of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -41,6 +56,17 @@ def once_per_worker(key: tuple, make: Callable):
     return kept[key]
 
 
+def hand_back() -> None:
+    """Return freed memory to the system at the end of a task: workers stay while later stages run."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU C library
+        pass
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names; all others are left out."""
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))

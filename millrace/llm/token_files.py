@@ -12,6 +12,8 @@ sequence without a copy: sequence ``k`` is row ``k % batch_rows`` of batch
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,12 +25,14 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from millrace.llm.shared import once_per_worker, only, written
+from millrace.llm.shared import hand_back, light_batches, once_per_worker, only, written
 from millrace.session import scratch_path
 
 SEQUENCE = 2048
 BATCH_ROWS = 256
-CACHED_PIECES = 600_000
+# a full stop or comma between an ASCII letter and white space is a pre-token of its own
+LONE_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
+CACHED_PIECES = 400_000
 MANIFEST = "shard int, tokens_file string, index_file string, n_docs long, n_ids long"
 
 
@@ -47,6 +51,7 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str, end_id: int):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
@@ -57,7 +62,7 @@ class PieceEncoder:
         suffix = spec["model"].get("end_of_word_suffix")
         self.is_end = np.zeros(self.size, bool)
         if suffix:
-            self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+            self.is_end[[i for i in range(self.size) if (self.tokenizer.id_to_token(i) or "").endswith(suffix)]] = True
         self.reset()
 
     def reset(self) -> None:
@@ -103,26 +108,11 @@ class PieceEncoder:
         return np.concatenate([pool, rest]), first, count
 
     def _drain(self) -> None:
-        """Tokenize the queued pieces.
-
-        A full stop or comma after an ASCII letter is a pre-token of its own, so
-        the word before it is tokenized apart and shared with the bare word.
-        """
-        words, ends, new = [], [], {}
-        for piece in self.queue:
-            if piece[-1] in b".," and piece[-2:-1].isalpha():
-                words.append(new.setdefault(piece[:-1], len(new)))
-                ends.append(new.setdefault(piece[-1:], len(new)))
-            else:
-                words.append(new.setdefault(piece, len(new)))
-                ends.append(-1)
-        pool, first, count = self._tokenize([p.decode() for p in new])
-        parts = np.array([words, ends]).T
-        held = np.where(parts >= 0, count[parts], 0).sum(axis=1)
-        parts = parts[parts >= 0]
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(held) - held])
-        self.count = np.concatenate([self.count, held])
-        self.ids = np.concatenate([self.ids, _gather(pool, first[parts], count[parts]).astype(np.uint32)])
+        """Tokenize the queued pieces and file their ids."""
+        pool, first, count = self._tokenize([p.decode() for p in self.queue])
+        self.first = np.concatenate([self.first, len(self.ids) + first])
+        self.count = np.concatenate([self.count, count])
+        self.ids = np.concatenate([self.ids, pool.astype(np.uint32)])
         self.queue = []
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +124,7 @@ class PieceEncoder:
             raw = (text or "").encode()
             if self.lowers and not any(s in raw.lower() for s in self.specials):
                 raw = raw.lower()  # ASCII letters only; the tokenizer would do the same
-            pieces = raw.split()
+            pieces = LONE_MARK.sub(rb" \1", raw).split()
             row = np.zeros(len(pieces) + 1, np.int32)
             row[:-1] = np.fromiter(map(look, pieces), np.int32, len(pieces))
             rows.append(row)
@@ -224,6 +214,7 @@ def write_token_files(
     ones. ``folder`` must be reachable from all executors.
     """
     spark = docs.sparkSession
+    light_batches(spark)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
     store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     store.mkdirs(hadoop)
@@ -241,8 +232,8 @@ def write_token_files(
             if sequences is None:
                 sequences = _Sequences(files[0], length, batch_rows, dtype)
                 index, done = _create(files[1], INDEX)
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                some = batch.slice(at, 250)
                 ids, counts = encoder.encode(some.column(1).to_pylist())
                 first = sequences.n + np.cumsum(counts) - counts
                 index.write_batch(pa.record_batch([some.column(0), pa.array(first), pa.array(counts)], schema=INDEX))
@@ -251,7 +242,9 @@ def write_token_files(
         if sequences is not None:
             sequences.close()
             done()
+            encoder.reset()
             yield pa.RecordBatch.from_pylist([{"shard": number, "tokens_file": files[0], "index_file": files[1], "n_docs": n_docs, "n_ids": sequences.n}], schema=pa.schema([("shard", pa.int32()), ("tokens_file", pa.string()), ("index_file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+        hand_back()
 
     ordered = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     return written(ordered.mapInArrow(shard, MANIFEST), "manifest")
