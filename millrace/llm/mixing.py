@@ -70,7 +70,8 @@ def _prefix(docs: DataFrame, leaf: list[str]) -> DataFrame:
         docs = docs.withColumn("cell", cell)
         sums = docs.where("open").groupBy(*leaf, "cell").agg(F.sum("n_tokens").alias("cell_tokens"), F.first("skipped").alias("skipped"), F.first("rest").alias("rest"))
         upto = F.col("skipped") + F.sum("cell_tokens").over(W.partitionBy(*leaf).orderBy("cell"))
-        sums = sums.withColumn("upto", upto).select(*leaf, "cell", "upto", (F.col("upto") - F.col("cell_tokens")).alias("cell_skipped"))
+        # a row for each cell: written, so that the plan stays short
+        sums = written(sums.withColumn("upto", upto).select(*leaf, "cell", "upto", (F.col("upto") - F.col("cell_tokens")).alias("cell_skipped")), "cells")
         docs = docs.join(sums, [*leaf, "cell"], "left")
         inside = F.col("open") & (F.col("upto") <= F.col("rest"))
         docs = docs.withColumn("taken", F.col("taken") | inside).withColumn("skipped", F.when(F.col("open"), F.col("cell_skipped")).otherwise(F.col("skipped")))
@@ -106,7 +107,7 @@ def mixture(
     # a hair's breadth above keeps whole epochs whole in floating point
     budget = F.floor(F.col("budget") + 1e-6)
     epochs = F.when(F.col("tokens") > 0, F.floor(budget / F.col("tokens"))).otherwise(F.lit(0)).cast("long")
-    budgets = budgets.select(*leaf, epochs.alias("epochs"), (budget - epochs * F.col("tokens")).alias("rest"))
+    budgets = written(budgets.select(*leaf, epochs.alias("epochs"), (budget - epochs * F.col("tokens")).alias("rest")), "budgets")
     # a hot leaf's documents meet its budget in as many tasks as a shuffle has
     d = salted_join(d, budgets, leaf, "doc_id").withColumn("h", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id")))
     # a whole corpus with no tokens has nothing to open
