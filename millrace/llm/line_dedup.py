@@ -22,7 +22,6 @@ WINDOW = 2
 DIVISOR = 3
 LEAST_LINES = 2
 MOST_LINES = 64
-LEAST_WORDS = 10
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # fixed values: public odd multipliers
 
 
@@ -55,7 +54,7 @@ def _chunks(text: str) -> list[tuple[int, int, int, bytes]]:
     out = []
     for n, (a, b) in enumerate(chunk_bounds(lines)):
         body = b"\n".join(lines[a:b])
-        if b - a >= LEAST_LINES and len(body.split()) >= LEAST_WORDS:
+        if b - a >= LEAST_LINES and body.split():
             out.append((n, a, b, body))
     return out
 
@@ -96,8 +95,8 @@ def _bodies(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_lines, n_removed_chunks, n_removed_lines, text without them.
 
-    A chunk of at least two lines and ``LEAST_WORDS`` words that occurs before, in
-    another document or earlier in the same one, is removed. Null texts stay null
+    A chunk of at least two lines and any word that occurs before, in another
+    document or earlier in the same one, is removed. Null texts stay null
     and have no lines; rows without a doc_id are left as they are; rows that share
     a doc_id count as one document, so equal ones keep their text; an empty table
     gives none; other columns are ignored.

@@ -54,3 +54,13 @@ def test_boundaries_resist_shifts():
     assert bounds[0][0] == 0 and bounds[-1][1] == 400 and all(x[1] == y[0] for x, y in zip(bounds, bounds[1:]))
     same = line_dedup.chunk_bounds([b"x"] * 1000)
     assert max(b - a for a, b in same) <= line_dedup.MOST_LINES
+
+
+def test_short_lines(spark):
+    """Menus and footers of few words go like any other repeated chunk; blank lines stay."""
+    menu = "Home\nAbout\nContact\nLog in"
+    rows = [(d, menu, "x", "s", 1) for d in range(1, 6)] + [(d, "\n\n\n", "x", "s", 1) for d in (6, 7)]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert got[1].text == menu and got[1].n_removed_lines == 0
+    assert all(got[d].n_removed_lines >= 2 and got[d].text != menu for d in range(2, 6))
+    assert all(got[d].text == "\n\n\n" for d in (6, 7))
