@@ -1,11 +1,12 @@
 """Secrets in texts: fixed forms, and random strings by two character Markov models.
 
-Runs of identifier characters are scored by the log-likelihood ratio of two
+Stretches of identifier characters are scored by the log-likelihood ratio of two
 first-order Markov models, one of random strings and one of ordinary
 identifiers. The labelled samples come from the corpus itself: values inside the
-fixed forms are random strings, words outside of them are ordinary. A run whose
-ratio exceeds ``LOG_ODDS`` becomes a span of kind ``random`` unless it overlaps a
-fixed form. All steps are built-in expressions.
+fixed forms are random strings, words outside of them are ordinary. Runs end at
+``=``, ``/`` and fixed forms; of a run of any length the best-scoring stretches
+whose ratio exceeds ``LOG_ODDS`` become spans of kind ``random``. All steps are
+built-in expressions.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ FORMS = {
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+RUN = "[A-Za-z0-9+_-]"
 ORDINARY = r"[A-Za-z_-]{6,}"
 SAMPLE = 20_000
 LOG_ODDS = 14.0  # one run in a million is taken to be a secret
@@ -33,16 +34,17 @@ SIDE = len(ALPHABET) + 1
 SPANS = "array<struct<start:long,end:long,value:string>>"
 
 
-def _all(text: Column, pattern: str, group: int = 0) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+def _all(text: Column, pattern: str | Column, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(group))
 
 
-def _with_spans(d: DataFrame, name: str, pattern: str, group: int = 0) -> DataFrame:
+def _with_spans(d: DataFrame, name: str, pattern: str | Column, group: int = 0) -> DataFrame:
     """Adds ``name``: start, end (code points) and value of all matches, leftmost and non-overlapping.
 
     The gaps between the matches give the places; a text without a match costs one search.
     """
-    text, found = F.col("text"), F.col("text").rlike(pattern)
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    text, found = F.col("text"), F.rlike("text", pattern)
     d = d.withColumns({
         "_whole": F.when(found, _all(text, pattern)), "_value": F.when(found, _all(text, pattern, group)),
         "_gaps": F.when(found, F.split(text, pattern, -1)),
@@ -82,11 +84,48 @@ class MarkovRatio:
 
     weights: list[float]
 
+    def run(self) -> str:
+        """Runs of the least length that can exceed ``LOG_ODDS``, whatever they are made of."""
+        best, n = self.weights[:SIDE], 1
+        while max(best) <= LOG_ODDS and n < 64:
+            best, n = [max(b + self.weights[k * SIDE + s] for k, b in enumerate(best)) for s in range(SIDE)], n + 1
+        return f"{RUN}{{{n},}}"
+
+    def table(self) -> Column:
+        return F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+
     def score(self, word: Column) -> Column:
-        table = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
-        pairs = _symbols(word)
-        begin = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))  # symbol 0 also stands for the start
-        return F.aggregate(pairs, begin, lambda a, s: F.struct(s.alias("last"), (a["sum"] + F.get(table, a["last"] * SIDE + s)).alias("sum")), lambda a: a["sum"])
+        """Score of the best stretch: the running maximum alone, as most words go no further."""
+        table = self.table()
+        step = lambda a, s: F.struct(s.alias("last"), F.greatest(a["sum"] + F.get(table, a["last"] * SIDE + s), F.get(table, s)).alias("sum"), F.greatest(a["best"], a["sum"]).alias("best"))
+        begin = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+        return F.aggregate(_symbols(word), begin, step, lambda a: F.greatest(a["best"], a["sum"]))
+
+    def stretches(self, word: Column) -> Column:
+        """begin, end of the best-scoring stretches above ``LOG_ODDS``, apart from each other.
+
+        A stretch begins where a fresh start scores better than going on; one
+        above ``LOG_ODDS`` ends at its highest sum once the sum has fallen by as much.
+        """
+        table = self.table()
+
+        def closed(a: Column) -> Column:
+            mine = F.array(F.struct(a["begin"].alias("begin"), a["end"].alias("end")))
+            return F.when(a["best"] > LOG_ODDS, F.concat(a["out"], mine)).otherwise(a["out"])
+
+        def step(a: Column, s: Column) -> Column:
+            fresh, on = F.get(table, s), a["sum"] + F.get(table, a["last"] * SIDE + s)  # symbol 0 also stands for the start
+            at = a["at"] + 1
+            new, better = (on < fresh) | (a["best"] > LOG_ODDS) & (a["best"] - on >= LOG_ODDS), on > a["best"]
+            return F.struct(
+                s.alias("last"), at.alias("at"), F.when(new, fresh).otherwise(on).alias("sum"), F.when(new, a["at"]).otherwise(a["begin"]).alias("begin"),
+                F.when(new | better, at).otherwise(a["end"]).alias("end"), F.when(new, fresh).otherwise(F.greatest(on, a["best"])).alias("best"),
+                F.when(new, closed(a)).otherwise(a["out"]).alias("out"),
+            )
+
+        none = F.array().cast("array<struct<begin:int,end:int>>")
+        begin = F.struct(*(F.lit(v).alias(k) for k, v in {"last": 0, "at": 0, "sum": 0.0, "begin": 0, "end": 0, "best": 0.0}.items()), none.alias("out"))
+        return F.aggregate(_symbols(word), begin, step, closed)
 
 
 def _transitions(words: DataFrame) -> list[float]:
@@ -126,11 +165,22 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
     """
     model = model or fit_markov(docs, doc_id, text)
     d = only(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    d = _with_spans(_with_forms(d), "random", RUN)
-    d = d.withColumn("_base", F.concat(*FORMS))
-    apart = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
-    random = F.filter("random", lambda s: s["value"].rlike("[A-Za-z]") & apart(s) & (model.score(s["value"]) > LOG_ODDS))
-    return d.withColumn("random", F.when(F.size("random") > 0, random).otherwise(F.col("random"))).select("doc_id", *FORMS, "random")
+    d = _with_forms(d).withColumn("_base", F.concat(*FORMS))
+    # fixed forms end a run: blanks of equal length take their places
+    blank = lambda t, b: F.overlay(t, F.repeat(F.lit(" "), (b["end"] - b["start"]).cast("int")), (b["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int"))
+    d = d.withColumn("text", F.when(F.size("_base") > 0, F.aggregate("_base", F.col("text"), blank)).otherwise(F.col("text")))
+    lettered = lambda w: F.filter(model.stretches(w), lambda x: F.substring(w, x["begin"] + 1, x["end"] - x["begin"]).rlike("[A-Za-z]"))
+    words = F.array_distinct(_all(F.col("text"), model.run()))
+    d = d.withColumn("_odd", F.filter(words, lambda w: model.score(w) > LOG_ODDS))
+    # only the places of those runs are looked for
+    ends = F.concat(F.lit(f"(?<!{RUN})(?:"), F.replace(F.array_join("_odd", "|"), F.lit("+"), F.lit(r"\+")), F.lit(f")(?!{RUN})"))
+    d = _with_spans(d.withColumn("_ends", F.when(F.size("_odd") > 0, ends)), "random", F.col("_ends"))
+
+    def cut(s: Column) -> Column:
+        part = lambda x: F.struct((s["start"] + x["begin"]).alias("start"), (s["start"] + x["end"]).alias("end"), F.substring(s["value"], x["begin"] + 1, x["end"] - x["begin"]).alias("value"))
+        return F.transform(lettered(s["value"]), part)
+
+    return d.withColumn("random", F.when(F.size("random") > 0, F.flatten(F.transform("random", cut))).otherwise(F.col("random"))).select("doc_id", *FORMS, "random")
 
 
 def secret_digest(found: DataFrame) -> DataFrame:

@@ -60,3 +60,25 @@ def test_markov_ratio_on_held_out_strings(spark):
     hits = sum(bool(found[n]) for n in range(len(keys)))
     assert hits >= 95 and sum(bool(found[1000 + n]) for n in range(len(names))) <= 3
     assert all(rows[n][1][s.start : s.end] == s.value for n in found if n < 1000 for s in found[n])
+
+
+def test_short_and_joined_random_strings(spark):
+    """Strings below 16 characters, behind a long name, beside a fixed form, and two in one run."""
+    random.seed(5)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(random.choice(alphabet) for _ in range(n))
+    train = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secret_scan.fit_markov(train)
+    keys = [[key(n) for n in (12, 16, 24, 20, 20)] for _ in range(50)]
+    between = "_and_then_the_other_value_of_this_document_"
+    texts = [t for a, b, c, d, e in keys for t in (f"see {a} here", f"authentication_header_signature_value={b}", f"😀 {c}/token=abcdef here", d + between + e)]
+    docs = frame(spark, [(n, t, "x", "s", 1) for n, t in enumerate(texts)])
+    found = {r.doc_id: r.random for r in secret_scan.secrets(docs, model=model).collect()}
+    assert all(texts[n][s.start : s.end] == s.value for n in found for s in found[n])
+    for kind in range(4):
+        assert sum(bool(found[n]) for n in range(kind, len(texts), 4)) >= 43, kind
+    # both strings of a run are covered, in one stretch or two
+    assert sum(found[n][0].start <= 4 and found[n][-1].end >= len(texts[n]) - 4 for n in range(3, len(texts), 4) if found[n]) >= 43
+    # prose and identifiers of the corpus are left alone
+    some = secret_scan.secrets(train.limit(200), model=model).collect()
+    assert sum(len(r.random) for r in some) <= 5
