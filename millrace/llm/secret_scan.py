@@ -141,17 +141,16 @@ def _transitions(words: DataFrame) -> list[float]:
 def fit_markov(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> MarkovRatio:
     """Train both models.
 
-    Random strings are the values of all fixed forms, ordinary identifiers the
-    words outside of them in ``SAMPLE`` documents. Documents, and values beyond
-    ``SAMPLE``, are taken in the order of a hash, so the sample does not depend
-    on the order of the rows. Every distinct string counts once.
+    Random strings are the values of the fixed forms, of which ``SAMPLE`` are
+    taken in the order of a hash; ordinary identifiers are the words outside of
+    the forms in all documents. Every distinct string counts once.
     """
     d = only(docs, doc_id=doc_id, text=text).where("text is not null")
-    form = F.col("text").rlike("|".join(f"(?:{p})" for p in FORMS.values()))
+    forms = "|".join(f"(?:{p})" for p in FORMS.values())
+    form = F.col("text").rlike(forms)
     values = _with_forms(d.where(form)).select(F.explode(F.concat(*FORMS)).alias("s")).select(F.col("s.value").alias("word")).distinct()
-    ids = d.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
-    some = docs.sparkSession.createDataFrame([(r.doc_id,) for r in ids], "doc_id long")
-    ordinary = d.join(F.broadcast(some), "doc_id", "left_semi").where(~form).select(F.explode(_all(F.col("text"), ORDINARY)).alias("word")).distinct()
+    outside = F.when(form, F.regexp_replace("text", forms, " ")).otherwise(F.col("text"))
+    ordinary = d.select(F.explode(_all(outside, ORDINARY)).alias("word")).distinct()
     random, usual = _transitions(values.orderBy(F.xxhash64("word"), "word").limit(SAMPLE)), _transitions(ordinary)
     return MarkovRatio([a - b for a, b in zip(random, usual)])
 

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 
 from helpers import awkward_docs, base_spans, frame
@@ -82,3 +83,23 @@ def test_short_and_joined_random_strings(spark):
     # prose and identifiers of the corpus are left alone
     some = secret_scan.secrets(train.limit(200), model=model).collect()
     assert sum(len(r.random) for r in some) <= 5
+
+
+def test_ordinary_words_of_all_documents(spark, monkeypatch):
+    """Words count in every document, with a fixed form or without, however many there are."""
+    monkeypatch.setattr(secret_scan, "SAMPLE", 2)
+    names = [f"word{a}{b}" for a in "abcdef" for b in "xyz"]
+    texts = [f"{n} and {n}" for n in names] + ["zebraquokka token=abc123def quokkazebra"]
+    docs = frame(spark, [(n, t, "x", "s", 1) for n, t in enumerate(texts)] + [(None, "without_an_id", "x", "s", 1)])
+    side = secret_scan.SIDE
+
+    def logs(words):
+        count = [1.0] * side**2
+        for w in words:
+            places = [0] + [secret_scan.ALPHABET.index(c) + 1 for c in w]
+            for a, b in zip(places, places[1:]):
+                count[a * side + b] += 1
+        return [math.log(c / sum(count[k // side * side : (k // side + 1) * side])) for k, c in enumerate(count)]
+
+    want = [a - b for a, b in zip(logs(["abc123def"]), logs([*names, "zebraquokka", "quokkazebra", "without_an_id"]))]
+    assert max(abs(a - b) for a, b in zip(secret_scan.fit_markov(docs).weights, want)) < 1e-9
