@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, licenses, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, urls
+from millrace.llm import chat, decontaminate, licenses, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, turn_align, urls
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,8 @@ block net/fr/
 @query("op10_url_verdicts")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_verdicts(read_table(spark, folder, "pages"), urls.parse_rules(URL_RULES))
+
+
+@query("op13_turn_structure")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_align.structure_report(read_table(spark, folder, "conversations"))
