@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, licenses, line_dedup, mixing, near_dedup, periodic_runs, quality, secret_scan, token_files, turn_align, urls
+from millrace.llm import chat, decontaminate, hilbert_shards, licenses, line_dedup, mixing, near_dedup, periodic_runs, quality, secret_scan, token_files, turn_align, urls
 from millrace.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_verdicts(read_table(spark, folder, "pages"), urls.parse_rules(URL_RULES))
 
 
+@query("op11_hilbert_shards")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_shards.shard_documents(read_table(spark, folder, "documents"), ["lang", "source", "n_chars"], 40)
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     docs = periodic_runs.planted(read_table(spark, folder, "documents"))
