@@ -50,6 +50,99 @@ PASSAGES = rf"""with d as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x
   from d left join c using (doc_id) left join t using (doc_id)"""
 
 
+# a byte's CRC-32 table by its rule, and the checksum of a text's UTF-8 bytes
+CRC_TABLE = """list_transform(range(256), lambda n: list_reduce(range(8), lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end, n::bigint))"""
+
+
+def crc_sql(text: str, table: str) -> str:
+    return f"""xor(list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::bigint), lambda a, b: xor(a >> 8, {table}[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295)"""
+
+
+SHARDS, SHARD_DIMS = 40, ["lang", "source", "n_chars"]
+
+
+def shards_sql(dims: list[str], count: int, bits: int = hilbert_shards.BITS) -> str:
+    """Cells by counts of values, places by the steps of the curve, runs by row numbers."""
+    digits, following = hilbert_shards.curve_steps(len(dims))
+    cells = 1 << bits
+    bounds = [
+        f"""b{k} as (select max(v) as b from (select v, (sum(n) over (order by v) - 1) * {cells} // sum(n) over () as c
+        from (select {c} as v, count(*) as n from documents where {c} is not null group by 1)) group by c),
+  l{k} as (select coalesce(list(b), []) as l from (select b from b{k} where b < (select max(b) from b{k})))"""
+        for k, c in enumerate(dims)
+    ]
+    codes = ", ".join(f"coalesce(len(list_filter(l{k}.l, lambda b: b < {c})), 0) as c{k}" for k, c in enumerate(dims))
+    corner = " + ".join(f"((c{k} >> s & 1) << {k})" for k in range(len(dims)))
+    size = 1 << len(dims)
+    return f"""with t as (select {CRC_TABLE} as crc, {digits} as digit, {following} as next),
+  {", ".join(bounds)},
+  d as (select doc_id, strlen(coalesce(text, '')) + {hilbert_shards.OVERHEAD} as size, {crc_sql("coalesce(text, '')", "t.crc")} as text_crc32, {codes}
+        from documents, t, {", ".join(f"l{k}" for k in range(len(dims)))}),
+  p as (select doc_id, size, text_crc32, list_reduce(range({bits - 1}, -1, -1), lambda a, s:
+        {{state: t.next[a.state * {size} + {corner} + 1]::bigint, place: a.place * {size} + t.digit[a.state * {size} + {corner} + 1]::bigint}}, {{state: 0::bigint, place: 0::bigint}}).place as place from d, t),
+  n as (select *, row_number() over (order by place, text_crc32, doc_id, size) - 1 as i, count(*) over () as n from p),
+  s as (select *, (2 * i + 1) * {count} // (2 * n) as shard from n)
+  select doc_id, size, text_crc32, 'rows' as law, shard, row_number() over (partition by shard order by i) - 1 as slot, null as grown_shard, place from s"""
+
+
+def turns_sql() -> str:
+    """Damage, first faults, and the cheapest repair, a turn at a time over the states of the grammar.
+
+    A way is (cost, audit, repaired lines); the least of two ways is the cheaper
+    one, or the one with the ASCII-least audit. No two ways into a state have equal audits.
+    """
+    none = "{c: 1000000000::bigint, a: '', l: []::varchar[]}"
+
+    def more(way: str, cost: str, edit: str, line: str | None = None) -> str:
+        lines = f"{way}.l" if line is None else f"list_append({way}.l, {line})"
+        return f"{{c: {way}.c + {cost}, a: {way}.a || '{edit}', l: {lines}}}"
+
+    def least(*ways: str) -> str:
+        return ways[0] if len(ways) == 1 else f"least({', '.join(ways)})"
+
+    def inserted(way: str, *letters: str) -> str:
+        for z in letters:
+            way = more(way, "5", "I", "'user:'" if z == "u" else "'assistant:'")
+        return way
+
+    # ways in which a turn may come to stand for a letter: from each state, with what is inserted before it
+    to_u = [inserted("w.b"), inserted("w.s"), inserted("w.a"), inserted("w.u", "a")]
+    to_a = [inserted("w.u"), inserted("w.b", "u"), inserted("w.s", "u"), inserted("w.a", "u")]
+    # insertions before a turn that goes
+    gone = {"b": ["w.b"], "s": ["w.s"], "u": ["w.u", *(inserted(x, "u") for x in ("w.b", "w.s", "w.a")), inserted("w.u", "a", "u")]}
+    gone["a"] = ["w.a", inserted("w.u", "a"), *(inserted(x, "u", "a") for x in ("w.b", "w.s", "w.a"))]
+
+    def stands(ways: list[str], z: str, name: str) -> list[str]:
+        line = "x.r || ':' || x.t"
+        return [f"case when x.k is null then {none} when x.i = '{z}' then {more(w, 'x.k', 'K', line)} else {more(w, 'x.k + 1', 'R', f"'{name}:' || x.t")} end" for w in ways]
+
+    step = {
+        "b": [more(w, "2", "D") for w in gone["b"]],
+        "s": [more(w, "2", "D") for w in gone["s"]] + [f"case when x.k is not null and x.i = 's' then {more('w.b', 'x.k', 'K', "x.r || ':' || x.t")} else {none} end"],
+        "u": [more(w, "2", "D") for w in gone["u"]] + stands(to_u, "u", "user"),
+        "a": [more(w, "2", "D") for w in gone["a"]] + stands(to_a, "a", "assistant"),
+    }
+    fold = "{" + ", ".join(f"{s}: {least(*ways)}" for s, ways in step.items()) + "}"
+    start = f"{{b: {{c: 0::bigint, a: '', l: []::varchar[]}}, s: {none}, u: {none}, a: {none}}}"
+    ends = least("w.b", "w.a", inserted("w.u", "a"), inserted("w.s", "u", "a"))
+    key = "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"
+    return rf"""with t as (select {CRC_TABLE} as crc),
+  h as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc_sql(key, "t.crc")} % 20 as h from conversations, t),
+  d as (select conv_id, turn, case when h = 4 then 'user' else role end as r, case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as t,
+        unnest(case when h = 3 then [0, 1] else [0] end) as copy from h where h <> 0),
+  o as (select *, row_number() over (partition by conv_id order by turn nulls first, r, t, copy) as n from d),
+  f as (select *, case when not regexp_matches(t, '[^ 	-]') then 'b' when row_number() over (partition by conv_id, r, t order by n) > 1 then 'd'
+        when not regexp_matches(t, '[.!?][ 	-]*$') then 't' else '' end as f, lag(r) over (partition by conv_id order by n) as before from o),
+  g as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (f = 'b') as blank, count(*) filter (f = 'd') as duplicate,
+        count(*) filter (f = 't') as truncated, count(*) filter (before is not null and left(before, 1) || left(r, 1) not in ('su', 'ua', 'au')) as illegal,
+        list({{i: left(r, 1), r: r, t: t, k: case f when 't' then 5 when '' then 0 end}} order by n) as turns from f group by conv_id),
+  w as (select *, list_reduce(turns, lambda w, x: {fold}, {start}) as w from g),
+  e as (select *, {ends} as e from w)
+  select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(e.e.c, 0) as cost, coalesce(e.e.a, '') as audit, sha256(coalesce(array_to_string(e.e.l, chr(10)), '')) as repaired_sha256
+  from (select distinct conv_id from conversations) c left join e on c.conv_id is not distinct from e.conv_id"""
+
+
 @query("op1_near_duplicates", COMPONENTS)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
@@ -123,9 +216,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_verdicts(read_table(spark, folder, "pages"), urls.parse_rules(URL_RULES))
 
 
-@query("op11_hilbert_shards")
+@query("op11_hilbert_shards", shards_sql(SHARD_DIMS, SHARDS))
 def op11(spark: SparkSession, folder: str) -> DataFrame:
-    return hilbert_shards.shard_documents(read_table(spark, folder, "documents"), ["lang", "source", "n_chars"], 40)
+    return hilbert_shards.shard_documents(read_table(spark, folder, "documents"), SHARD_DIMS, SHARDS)
 
 
 @query("op12_periodic_runs")
@@ -134,6 +227,6 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.run_digest(periodic_runs.periodic_runs(docs))
 
 
-@query("op13_turn_structure")
+@query("op13_turn_structure", turns_sql())
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return turn_align.structure_report(read_table(spark, folder, "conversations"))
