@@ -122,9 +122,12 @@ class PieceEncoder:
         look, rows = self.places.__getitem__, []
         for text in texts:
             raw = (text or "").encode()
-            if self.lowers and not any(s in raw.lower() for s in self.specials):
-                raw = raw.lower()  # ASCII letters only; the tokenizer would do the same
-            pieces = LONE_MARK.sub(rb" \1", raw).split()
+            # letters in front of other characters may compose with them, so only pieces of ASCII alone are lowered beforehand
+            lowers = self.lowers and not any(s in raw.lower() for s in self.specials)
+            whole = raw.isascii()
+            pieces = LONE_MARK.sub(rb" \1", raw.lower() if lowers and whole else raw).split()
+            if lowers and not whole:
+                pieces = [p.lower() if p.isascii() else p for p in pieces]
             row = np.zeros(len(pieces) + 1, np.int32)
             row[:-1] = np.fromiter(map(look, pieces), np.int32, len(pieces))
             rows.append(row)
@@ -208,10 +211,13 @@ def write_token_files(
 
     ``docs`` is dealt out by ranges of ``doc_id``; every range becomes one shard,
     so shard order is document order. Null texts are empty, an empty text is the
-    end id alone, null ids come first, rows with equal ids stand side by side,
-    and an empty table gives no shard with rows. Ids take two bytes where the
-    vocabulary allows, else four. A repeated task replaces its files by equal
-    ones. ``folder`` must be reachable from all executors.
+    end id alone, null ids come first, rows with equal ids stand side by side in
+    the order of a hash of their texts and the texts, and an empty table gives no
+    shard with rows. Rows of one id, or without any, may fill several shards. A
+    text of any length is encoded whole and spread over as many sequences as it
+    takes. Ids take two bytes where the vocabulary allows, else four. A repeated
+    task replaces its files by equal ones. ``folder`` must be reachable from all
+    executors.
     """
     spark = docs.sparkSession
     light_batches(spark)
@@ -246,7 +252,9 @@ def write_token_files(
             yield pa.RecordBatch.from_pylist([{"shard": number, "tokens_file": files[0], "index_file": files[1], "n_docs": n_docs, "n_ids": sequences.n}], schema=pa.schema([("shard", pa.int32()), ("tokens_file", pa.string()), ("index_file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
         hand_back()
 
-    ordered = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "_h": F.xxhash64("text"), "_n": F.monotonically_increasing_id()})
+    # the number only deals equal rows to several ranges; they are the same in any order
+    ordered = rows.repartitionByRange("doc_id", "_h", "_n").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
     return written(ordered.mapInArrow(shard, MANIFEST), "manifest")
 
 

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -24,12 +26,35 @@ def test_encoder_equals_the_tokenizer(name):
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
 
 
+def test_encoder_equals_the_tokenizer_on_any_characters():
+    """Seeded strings of letters, marks that compose with them, marks, blanks and rare characters."""
+    rng = random.Random(8)
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123))]
+    other = list(" \t\n  .,;:'\"!?-_0123456789<|>ßİıſKÅÀéñøŁǅΑΣςσЖжאبकกあ漢한\u1100\u1161\xa0\x85\x1c\u200b\ufeff\U0001f600\U00010400\ufffd")
+    encoder = token_files.PieceEncoder(PATH, 1)
+    for n in range(60):
+        texts = ["".join(rng.choice(rng.choice((letters, letters, marks, other, other))) for _ in range(rng.randint(0, 14))) for _ in range(500)]
+        ids, counts = encoder.encode(texts)
+        want = [e.ids + [1] for e in tokenizer(PATH).encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def check_files(got, docs):
+    """Rows of an id, which may have several texts, stand side by side in any order; ids ascend and starts add up."""
+    plain = lambda rows: sorted((str(r[0]), r[2], r[3]) for r in rows)
+    assert plain(got) == plain(token_rows(docs, PATH))
+    got = sorted(got, key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((d for d, _ in docs), key=lambda d: (d is not None, d or 0))
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:k]) for k in range(len(got))]
+
+
 def test_awkward_rows(spark):
-    # rows without an id, of which there are two, are ordered by nothing else
-    rows = [r for r in awkward_docs() if r[0] is not None] + [(None, "x y", "en", "s", 3)]
-    docs = [(d, t) for d, t, *_ in rows]
-    got = token_files.token_files(frame(spark, rows).withColumnRenamed("lang", "start").withColumnRenamed("source", "shard"), PATH, length=16, batch_rows=4).collect()
-    assert by_id(got) == by_id(token_rows(docs, PATH))
+    rows = awkward_docs() + [(None, "x y", "en", "s", 3)] * 40 + [(7, f"text {k}", "en", "s", 3) for k in range(60)] + [(12, "Y\u030a T\u0308 end", "en", "s", 3)]
+    docs = frame(spark, rows).withColumnRenamed("lang", "start").withColumnRenamed("source", "shard")
+    first, again = (token_files.token_files(docs, PATH, length=16, batch_rows=4).collect() for _ in range(2))
+    check_files(first, [r[:2] for r in rows])
+    assert sorted(first, key=lambda r: r.start) == sorted(again, key=lambda r: r.start)
 
 
 def test_empty_table(spark):
