@@ -72,6 +72,14 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 FILTER_BITS = 1 << 23
 
 

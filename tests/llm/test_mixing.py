@@ -92,6 +92,20 @@ def test_awkward_rows(spark):
     assert sorted(str((r.doc_id, r.n_tokens)) for r in got) == sorted(str((d, len(SPACED.findall(t or "")))) for d, t, *_ in awkward_docs())
     assert mixing.mixture(frame(spark, []), ["lang"], [{}]).collect() == []
     rows, some = table(spark)
-    plan = mixing.mixture(some, ["lang"], [{"en": 9.0}], max_epochs=3)
-    out = Counter(r.doc_id for r in mixing.mixed_documents(some, plan).collect())
+    plan = mixing.mixture(some, ["lang"], [{"en": 9.0}], max_epochs=3, key="doc_id")
+    out = Counter(r.doc_id for r in mixing.mixed_documents(some, plan, "doc_id").collect())
     assert out == Counter({r.doc_id: r.copies for r in plan.collect() if r.copies})
+
+
+def test_rows_without_or_of_one_id(spark, monkeypatch):
+    """Copies belong to rows: none is multiplied by others of its id, and none of them is one task's load."""
+    rows = [(None, "a b"), (None, "a b"), (None, "c"), (5, "d e f")]
+    keyed = spark.createDataFrame([(k, d, t, "en") for k, (d, t) in enumerate(rows)], "k long, doc_id long, text string, lang string")
+    plan = mixing.mixture(keyed, ["lang"], [{}], max_epochs=1, key="k")
+    assert sorted((r.k, r.doc_id, r.text) for r in mixing.mixed_documents(keyed, plan, "k").collect()) == [(k, d, t) for k, (d, t) in enumerate(rows)]
+    monkeypatch.setattr(mixing, "LAST", 20)
+    rows = [(None, "w " * 3, "en", "s", 1)] * 700 + [(1, f"w{k} " * (1 + k % 5), "en", "s", 1) for k in range(300)]
+    tokens = sum(len(t.split()) for _, t, *_ in rows)
+    got = mixing.mixture(frame(spark, rows), ["lang"], [{}], total=tokens // 2, max_epochs=1).collect()
+    taken = sum(r.copies * r.n_tokens for r in got)
+    assert len(got) == 1000 and tokens // 2 - 5 <= taken <= tokens // 2
