@@ -26,6 +26,33 @@ def _(t: Tables):
     return readers.read_csv(t.spark, path, ORDER_CSV)
 
 
+# a text with its line breaks, quotes and separators, blanks at both ends, '' and null
+QUOTED_CSV = "doc_id long, title string, text string, note string"
+QUOTED_SQL = """select doc_id, '"' || lang || '", ' || source || ' ""' as title, text || chr(10) || '"' || lang || '"' || chr(13) || chr(10) || ',' as text,
+       case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then '  ' || lang || ' ' end as note from documents"""
+
+
+def _quoted(t: Tables):
+    note = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.format_string("  %s ", "lang"))
+    text = F.concat("text", F.lit('\n"'), "lang", F.lit('"\r\n,'))
+    return t.documents.select("doc_id", F.concat(F.lit('"'), "lang", F.lit('", '), "source", F.lit(' ""')).alias("title"), text.alias("text"), note.alias("note"))
+
+
+@query("src_01_quoted_csv", QUOTED_SQL)
+def _(t: Tables):
+    path = scratch_path(t.spark, "quoted-csv")
+    writers.write_csv(_quoted(t), path)
+    return readers.read_csv(t.spark, path, QUOTED_CSV)
+
+
+@query("snk_01_quoted_csv", QUOTED_SQL)
+def _(t: Tables):
+    """One file with a byte-order mark, read by several tasks."""
+    path = scratch_path(t.spark, "quoted-csv")
+    writers.write_csv(_quoted(t).coalesce(1), path, mark=True)
+    return readers.read_csv(t.spark, path, QUOTED_CSV)
+
+
 @query(
     "src_02_many_csv",
     """select event_id, user_id, case when event_type = 'purchase' then value end as amount,

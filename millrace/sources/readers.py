@@ -12,8 +12,10 @@ import pandas as pd
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# The encodings Spark's CSV reader takes.
-NATIVE_ENCODINGS = {"iso-8859-1", "us-ascii", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32"}
+from millrace.sources.csv_records import NULL, csv_records, parsed
+
+# Encodings whose line breaks and quotes are not single bytes.
+WIDE = ("utf-16", "utf-32")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,44 +23,33 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType, encoding: str = "UTF-8", fallback: str | None = None) -> DataFrame:
-    """CSV with a header line. A UTF-8 byte-order mark is dropped by the reader.
-
-    With a ``fallback`` the encoding is chosen file by file: UTF-8 where every
-    line of the file is valid UTF-8, else the fallback. Lines are tested on their
-    bytes, which stay with the executors. Without one, bytes that do not fit the
-    encoding raise an error.
-
-    Other encodings that keep the ASCII characters (such as cp949) are read byte
-    by byte as Latin-1, which can be split and parsed as usual, and the text
-    columns are decoded afterwards.
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, encoding: str = "UTF-8", fallback: str | None = None, source_file: str | None = None
+) -> DataFrame:
+    """CSV with a header line, as RFC 4180 has it; columns are taken by position.
+
+    Quoted fields may hold line breaks, doubled quotes and separators; blanks
+    belong to fields; a quoted empty field is '' and an unquoted one null. Large
+    files are split, whatever their records hold. A byte-order mark is dropped
+    with the header. ``encoding`` is any that keeps the ASCII characters, or
+    UTF-16 or UTF-32, of which a file is read by one task. Bytes that do not fit
+    raise an error. With a ``fallback`` the encoding is chosen file by file: UTF-8
+    where every line is valid UTF-8, else the fallback. ``source_file`` names a
+    column for the path of each row's file.
     """
-    if fallback:
-        lines = spark.read.text(path)
-        odd = {r.f for r in lines.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
-        files = [r.f for r in lines.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
-        parts = [(read_csv(spark, some, schema, code)) for some, code in (([f for f in files if f not in odd], encoding), (sorted(odd), fallback)) if some]
-        return reduce(DataFrame.unionByName, parts) if parts else read_csv(spark, path, schema, encoding)
-    native = encoding.lower().replace("_", "-") in NATIVE_ENCODINGS
-    rows = spark.read.schema(schema).option("header", True).option("encoding", encoding if native else "ISO-8859-1").csv(path)
-    return rows if native else rows.withColumns({f.name: _decoded(encoding)(f.name) for f in rows.schema if isinstance(f.dataType, T.StringType)})
-
-
-def _decoded(encoding: str):
-    @F.pandas_udf(T.StringType())
-    def decode(s: pd.Series) -> pd.Series:
-        return s.str.encode("latin-1").str.decode(encoding)
-
-    return decode
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if encoding.lower().replace("_", "-").startswith(WIDE):
+        rows = spark.read.schema(schema).options(header=True, encoding=encoding, multiLine=True, escape='"', nullValue=NULL, emptyValue="").csv(path)
+        return rows.withColumn(source_file, F.col("_metadata.file_path")) if source_file else rows
+    records = csv_records(spark, path, encoding, fallback, keep_file=source_file is not None)
+    fields = records.select(parsed("record", schema).alias("r"), *([F.col("file").alias(source_file)] if source_file else []))
+    return fields.select("r.*", *([source_file] if source_file else []))
 
 
 def read_many(spark: SparkSession, sources: Sequence[tuple[str, str | T.StructType]], encoding: str = "UTF-8") -> DataFrame:
     """CSV globs as one table, aligned by name, with the file each row came from."""
-    out = None
-    for glob, schema in sources:
-        part = read_csv(spark, glob, schema, encoding).withColumn("source_file", F.col("_metadata.file_path"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    parts = [read_csv(spark, glob, schema, encoding, source_file="source_file") for glob, schema in sources]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def unzip_records(

@@ -11,9 +11,15 @@ MARK = "\ufeff"  # fixed value: the byte-order mark by which spreadsheets know U
 
 
 def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
-    """A folder of CSV files with header lines, with a byte-order mark in front if asked."""
+    """A folder of CSV files with header lines, with a byte-order mark in front if asked.
+
+    Quotes are doubled, blanks kept, '' is written in quotes and null as nothing,
+    so ``read_csv`` gives back what was written. Only a row of one null column
+    cannot be told from a blank line.
+    """
     out = df.withColumnRenamed(df.columns[0], MARK + df.columns[0]) if mark else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    rules = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+    out.write.mode("overwrite").options(**rules).csv(path)
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
