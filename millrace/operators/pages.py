@@ -1,88 +1,56 @@
-"""Fields out of web pages: regexes for flat tags, a parser for nested items."""
+"""Fields out of web pages: one pass over the markup for flat fields, a parser for nested items."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from html import unescape as unescape_html
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
-from millrace.functions.columns import col
+from millrace.operators.page_tokens import Field, page_fields
 
 # Elements that have no end tag.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-@F.pandas_udf(T.StringType())
-def unescape(s: pd.Series) -> pd.Series:
-    """Named and numeric character references as characters."""
-    return s.map(lambda x: x if x is None or "&" not in x else unescape_html(x))
+def extract_fields(df: DataFrame, key: str, html: str, fields: Mapping[str, Field]) -> DataFrame:
+    """``key`` and the named fields of each page, all found in one pass over its markup.
 
+    A field is ("text", tag), ("attribute", tag, name), ("all", tag, name),
+    ("meta", name) or ("visible",); see ``page_tokens.page_fields``.
+    """
+    wanted = list(fields.values())
+    lists = pa.list_(pa.string())
+    kinds = [lists if f[0] == "all" else pa.string() for f in wanted]
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def unescape_all(s: pd.Series) -> pd.Series:
-    """:func:`unescape` for every element of an array."""
-    return s.map(lambda xs: None if xs is None else [x if x is None or "&" not in x else unescape_html(x) for x in xs])
-
-
-def _attribute(name: str) -> str:
-    """Pattern of an attribute with its value in group ``value``, after a blank, in either kind of quotes."""
-    return rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-
-
-def _value(html: Column, pattern: str) -> Column:
-    """Whichever of the two groups of the first match is filled."""
-    return F.concat(F.regexp_extract(html, pattern, 1), F.regexp_extract(html, pattern, 2))
-
-
-def tag_text(html: Column | str, tag: str) -> Column:
-    """Text of the first ``<tag>``; null without one."""
-    inner = F.regexp_extract(col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
-    return F.nullif(_plain(unescape(F.regexp_replace(inner, r"<[^>]*>", " "))), F.lit(""))
-
-
-def _plain(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
-
-
-def tag_attribute(html: Column | str, tag: str, attribute: str) -> Column:
-    """Attribute of the first ``<tag>`` that has it; null without one."""
-    found = _value(col(html), rf"(?is)<{tag}(?=\s)[^>]*?{_attribute(attribute)}")
-    return F.nullif(unescape(found), F.lit(""))
-
-
-def meta_content(html: Column | str, name: str) -> Column:
-    """``content`` of the meta tag with this name or property, in any order of the attributes."""
-    named = rf"""(?=[^>]*?\s(?:name|property)\s*=\s*["']{name}["'])"""
-    return F.nullif(unescape(_value(col(html), rf"(?is)<meta(?=\s){named}[^>]*?{_attribute('content')}")), F.lit(""))
-
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                rows = [page_fields(page.as_py(), wanted) for page in some.column(1)]
+                columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.record_batch([some.column(0), *columns], names=["_key", *fields])
 
-def links(html: Column | str) -> Column:
-    """Targets of all anchors, in order."""
-    pattern = F.lit(rf"(?is)<a(?=\s)[^>]*?{_attribute('href')}")
-    first, second = (F.regexp_extract_all(col(html), pattern, F.lit(g)) for g in (1, 2))
-    return unescape_all(F.zip_with(first, second, lambda a, b: F.concat(a, b)))
+    names = {n: "array<string>" if f[0] == "all" else "string" for n, f in fields.items()}
+    schema = f"`_key` {df.schema[key].dataType.simpleString()}, " + ", ".join(f"`{n}` {kind}" for n, kind in names.items())
+    return df.select(key, html).mapInArrow(parse, schema).withColumnRenamed("_key", key)
 
 
-def visible_text(html: Column | str) -> Column:
-    """Text without scripts, styles, comments and tags."""
-    bare = F.regexp_replace(col(html), r"(?is)<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<!--.*?-->", " ")
-    return _plain(unescape(F.regexp_replace(bare, r"<[^>]*>", " ")))
+PAGE = {
+    "title": ("text", "title"),
+    "lang": ("attribute", "html", "lang"),
+    "heading": ("text", "h1"),
+    "description": ("meta", "description"),
+    "links": ("all", "a", "href"),
+    "text": ("visible",),
+}
 
 
 def extract_page(df: DataFrame, key: str, html: str) -> DataFrame:
-    """Title, language, first heading, links and visible text of each page."""
-    return df.select(
-        key,
-        tag_text(html, "title").alias("title"),
-        tag_attribute(html, "html", "lang").alias("lang"),
-        tag_text(html, "h1").alias("heading"),
-        meta_content(html, "description").alias("description"),
-        links(html).alias("links"),
-        visible_text(html).alias("text"),
-    )
+    """Title, language, first heading, description, links and visible text of each page."""
+    return extract_fields(df, key, html, PAGE)
 
 
 class _Items(HTMLParser):

@@ -121,6 +121,21 @@ def _(t: Tables):
     return out.withColumns({"links": F.array_join("links", " "), "text_md5": F.md5("text")}).drop("text")
 
 
+ODD_PAGE = """<html lang=ko><!-- <a href="no"> --><script>var z = '<a href="z">';</script><meta name=description content="a > b"><a href=/x title='>"'>go</a><br/>"""
+
+
+@query(
+    "tx_07_extract_odd_page",
+    rf"""select page_id, {tag_sql('title')} as title, 'ko' as lang, {tag_sql('h1')} as heading, 'a > b' as description,
+        array_to_string(list_prepend('/x', regexp_extract_all(html, '<a\s[^>]*?href=["'']([^"'']*)["'']', 1)), ' ') as links,
+        md5('go ' || trim(regexp_replace({UNESCAPE.format(x=BARE)}, '\s+', ' ', 'g'))) as text_md5 from pages""",
+)
+def _(t: Tables):
+    # attributes without quotes and with > in them, tags in comments and scripts
+    out = P.extract_page(t.pages.select("page_id", F.concat(F.lit(ODD_PAGE), "html").alias("html")), "page_id", "html")
+    return out.withColumns({"links": F.array_join("links", " "), "text_md5": F.md5("text")}).drop("text")
+
+
 @query(
     "tx_07_extract_items",
     r"""select page_id, cast(i - 1 as int) as item, href[i] as href, label[i] as label from (select page_id, href, label, unnest(range(1, len(href) + 1)) as i from (
