@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.lookup import Names, first_occurring
 from millrace.session import salts
 from millrace.sources.writers import one_per_key
 
@@ -124,19 +125,13 @@ def contains_join(
 ) -> DataFrame:
     """Attach the first catalogue row whose name occurs in the text, ignoring case.
 
-    ``key`` identifies a row of ``df``. Names meet the texts on their anchors in
-    an equi-join, and only the names so found are looked for in the text: work
-    grows with the text, not with text times catalogue. Each text is read once
-    for its anchors and once for the names found.
+    ``key`` identifies a row of ``df``. Each text is read once for each block of
+    names, of which there is one up to some hundred thousand names; only hits are
+    shuffled. Names of equal order come by name; of equal names the first counts.
     """
-    names = catalogue.select(F.lower(name).alias("_cj_name"), F.col(order).alias("_cj_ord"), *payload).where(F.length("_cj_name") >= min_length)
-    names = one_per_key(names, ["_cj_name"], [F.col("_cj_ord").asc()]).withColumn("_anchor", anchor("_cj_name"))
-    texts = df.select(F.col(key).alias("_k"), F.explode(anchors(F.lower(text))).alias("_anchor"))
-    # an anchor may belong to several names, a text has each anchor once
-    found = texts.join(names, "_anchor").groupBy("_k").agg(F.collect_list(F.struct("_cj_ord", "_cj_name", *payload)).alias("_found"))
-    out = df.join(found, F.col(key) == F.col("_k"), "left").withColumn("_lower", F.lower(text))
-    out = out.withColumn("_hit", F.array_min(F.filter("_found", lambda n: F.contains(F.col("_lower"), n["_cj_name"]))))
-    return out.select(*df.columns, *[F.col(f"_hit.{p}").alias(p) for p in payload])
+    names = catalogue.select(F.lower(name).alias("_what"), F.col(order).alias("_ord"), *payload).where(F.length("_what") >= min_length)
+    names = one_per_key(names, ["_what"], [F.col("_ord").asc()])
+    return first_occurring(df, key, F.lower(text), names, payload, Names)
 
 
 def attach_metric(features: DataFrame, metric: DataFrame, key: str, value: str, mode: str = "null") -> DataFrame:

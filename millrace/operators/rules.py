@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.columns import labels_or_default
 from millrace.functions.text import any_of, num_unit, rx_contains
 from millrace.operators.joins import contains_join
+from millrace.operators.lookup import Patterns, first_occurring
 from millrace.operators.ordering import top_n_per_group
+from millrace.sources.writers import one_per_key
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,17 @@ def classify_by_table(df: DataFrame, key: str, text: str, rules: DataFrame, defa
     return hit.withColumnRenamed("label", out).withColumn(out, F.coalesce(out, F.lit(default)))
 
 
+def classify_by_patterns(df: DataFrame, key: str, text: str, rules: DataFrame, default: str, out: str = "label") -> DataFrame:
+    """First-match label from a rule table ``(ord, label, pattern)`` of any size, ignoring case.
+
+    Patterns are those of Python's ``re``. A pattern runs only on texts that hold a
+    literal all its matches hold; patterns without one run on every text. Of equal
+    patterns the first counts.
+    """
+    table = one_per_key(rules.select(F.col("pattern").alias("_what"), F.col("ord").alias("_ord"), F.col("label").alias(out)), ["_what"], [F.col("_ord").asc()])
+    return first_occurring(df, key, F.col(f"`{text}`"), table, [out], Patterns).withColumn(out, F.coalesce(out, F.lit(default)))
+
+
 def tag(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule], default: str, out: str = "tags") -> DataFrame:
     """All labels that fit, in rule order, or the default."""
     text = rule_text(columns)

@@ -45,6 +45,26 @@ def _(t: Tables):
     return R.classify_by_table(t.part.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("text")), "p_partkey", "text", rules, "none")
 
 
+# a pattern for every brand and kind, two of which have no literal that all matches hold
+PATTERN_SQL = r"""select min(p_partkey) as ord, 'size of ' || p_type || p_size % 5 as label, p_type || '.*\b(' || split_part(p_name, ' ', 1) || '|' || (p_size % 5) || '\d)\b' as pattern from part group by p_type, split_part(p_name, ' ', 1), p_size % 5
+        union all select -1, 'double', 'm.ll\s+(gear|GIZMO)' union all select 10000000, 'numbered', '[4-5]\d|\d[0]' """
+
+
+@query(
+    "rl_01_classify_by_patterns",
+    f"""with r as ({PATTERN_SQL}), p as (select p_partkey, p_name || ' ' || p_type || ' ' || p_size as text from part)
+       select p_partkey, text, coalesce(arg_min(label, ord), 'none') as label from p left join r on regexp_matches(text, pattern, 'i') group by all""",
+)
+def _(t: Tables):
+    kind = F.col("p_size") % 5
+    first = F.split("p_name", " ")[0]
+    pattern = F.concat("p_type", F.lit(r".*\b("), first, F.lit("|"), kind.cast("string"), F.lit(r"\d)\b"))
+    rules = t.part.groupBy(F.concat(F.lit("size of "), "p_type", kind.cast("string")).alias("label"), pattern.alias("pattern")).agg(F.min("p_partkey").alias("ord"))
+    more = t.spark.createDataFrame([(-1, "double", r"m.ll\s+(gear|GIZMO)"), (10_000_000, "numbered", r"[4-5]\d|\d[0]")], "ord long, label string, pattern string")
+    texts = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string")).alias("text"))
+    return R.classify_by_patterns(texts, "p_partkey", "text", rules.select("ord", "label", "pattern").union(more), "none")
+
+
 TAG_LIST = "list_filter([" + ", ".join(f"case when {c} then '{n}' end" for n, c in KIND_TESTS) + "], lambda x: x is not null)"
 
 
