@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.operators.page_tokens import Field, page_fields
+from millrace.session import spread
 
 # Elements that have no end tag.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -35,7 +36,7 @@ def extract_fields(df: DataFrame, key: str, html: str, fields: Mapping[str, Fiel
 
     names = {n: "array<string>" if f[0] == "all" else "string" for n, f in fields.items()}
     schema = f"`_key` {df.schema[key].dataType.simpleString()}, " + ", ".join(f"`{n}` {kind}" for n, kind in names.items())
-    return df.select(key, html).mapInArrow(parse, schema).withColumnRenamed("_key", key)
+    return spread(df.select(key, html)).mapInArrow(parse, schema).withColumnRenamed("_key", key)
 
 
 PAGE = {

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.text import WORD, strip_html, strip_non_word, tokens
 from millrace.operators.ordering import top_n_per_group
-from millrace.session import salts
+from millrace.session import pinned, spread
 
 
 def combined_text(columns: Sequence[str]) -> Column:
@@ -21,24 +21,61 @@ def combined_text(columns: Sequence[str]) -> Column:
     return strip_non_word(strip_html(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])))
 
 
+def _rows(df: DataFrame, doc: str, text: Column | str, by: Sequence[str], pattern: str, stop: Sequence[str]) -> DataFrame:
+    """(by, doc, words) of each row."""
+    t = F.col(text) if isinstance(text, str) else text
+    words = tokens("_t", pattern)
+    if stop:
+        words = F.filter(words, lambda w: ~w.isin(list(stop)))
+    return spread(df.select(*by, F.col(doc).alias("doc"), t.alias("_t"))).select(*by, "doc", words.alias("words"))
+
+
+def _exploded(rows: DataFrame, by: Sequence[str], what: Column | str, out: str) -> DataFrame:
+    """One row for each element. Outer, as a plain ``explode`` has its array tested, and so cut, below the shuffle first."""
+    return rows.select(*by, "doc", F.explode_outer(what).alias(out)).where(F.col(out).isNotNull())
+
+
 def term_counts(
     df: DataFrame, doc: str, text: Column | str, by: Sequence[str] = (), pattern: str = WORD, stop: Sequence[str] = ()
 ) -> DataFrame:
-    """Occurrences of each term per document.
+    """Occurrences of each term per document; terms are counted before they are shuffled."""
+    words = _exploded(_rows(df, doc, text, by, pattern, stop), by, "words", "term")
+    return words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+
 
-    Texts are dealt out by document once; counting, and a norm per document
-    later, need no further shuffle.
+def _several(df: DataFrame, doc: str, by: Sequence[str]) -> DataFrame | None:
+    """Documents that have more than one row; None if there is no such document."""
+    several = pinned(df.select(*by, F.col(doc).alias("doc")).groupBy(*by, "doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    return None if several.isEmpty() else several
+
+
+def term_totals(rows: DataFrame, several: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
+    """Occurrences (``_ttf``) and documents (``df``) of each term.
+
+    A row that is a document of its own adds its words and its distinct words,
+    which meet on the term alone and are combined before the shuffle. Only the
+    words of documents with several rows are counted per document first.
     """
-    t = F.col(text) if isinstance(text, str) else text
-    texts = df.select(*by, F.col(doc).alias("doc"), t.alias("_t")).repartition(salts(df.sparkSession), *by, "doc")
-    words = texts.select(*by, "doc", F.explode(tokens("_t", pattern)).alias("term")).where(F.col("term").isNotNull())
-    if stop:
-        words = words.where(~F.col("term").isin(list(stop)))
-    return words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+    by = list(by)
+    if several is not None:
+        same = F.lit(True)
+        for c in [*by, "doc"]:
+            same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+        many = _exploded(rows.alias("r").join(several.alias("s"), same, "left_semi"), by, "words", "term")
+        many = many.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("_a")).select(*by, "term", "_a", F.lit(1).cast("long").alias("_b"))
+        rows = rows.alias("r").join(several.alias("s"), same, "left_anti")
+    once = F.concat(
+        F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(1).cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"))),
+        F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(0).cast("long").alias("_a"), F.lit(1).cast("long").alias("_b"))),
+    )
+    terms = _exploded(rows, by, once, "_t").select(*by, "_t.*")
+    if several is not None:
+        terms = terms.unionByName(many)
+    return terms.groupBy(*by, "term").agg(F.sum("_a").alias("_ttf"), F.sum("_b").alias("df"))
 
 
 def vocabulary(
-    counts: DataFrame,
+    totals: DataFrame,
     sizes: DataFrame,
     by: Sequence[str] = (),
     min_df: int = 1,
@@ -50,14 +87,11 @@ def vocabulary(
     The ``max_features`` most frequent terms are kept, the smaller term on ties.
     """
     by = list(by)
-    terms = counts.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_ttf"))
     if by:
-        terms = terms.join(sizes, by)
+        terms = totals.join(sizes, by)
     else:
-        terms = terms.withColumn("n_docs", sizes.select("n_docs").scalar())
-    # true for every term: named here (as is the null test above) so that both
-    # uses of the counts have one plan, and the texts are cut and shuffled once
-    terms = terms.where((F.col("_ttf") > 0) & (F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.col("n_docs")))
+        terms = totals.withColumn("n_docs", sizes.select("n_docs").scalar())
+    terms = terms.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.col("n_docs")))
     if max_features is not None:
         order = [F.desc("_ttf"), F.asc("term")]
         terms = top_n_per_group(terms, by, order, max_features) if by else terms.orderBy(*order).limit(max_features)
@@ -77,12 +111,21 @@ def tfidf(
 ) -> DataFrame:
     """Normalised weight of every kept term of every document (long sparse matrix).
 
-    With ``by`` every group is a corpus of its own.
+    With ``by`` every group is a corpus of its own. Texts are not shuffled (but for
+    tables of fewer files than cores): they are read once for the vocabulary and
+    once for the counts. A vocabulary limited
+    by ``max_features`` is written, and words outside of it are dropped before
+    the counts are shuffled.
     """
     by = list(by)
-    counts = term_counts(df, doc, text, by, pattern, stop)
+    rows = _rows(df, doc, text, by, pattern, stop)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs"))
-    kept = vocabulary(counts, sizes, by, min_df, max_df, max_features)
+    kept = vocabulary(term_totals(rows, _several(df, doc, by), by), sizes, by, min_df, max_df, max_features)
+    words = _exploded(rows, by, "words", "term")
+    if max_features is not None:
+        kept = pinned(kept)
+        words = words.join(kept.select(*by, "term"), [*by, "term"], "left_semi")
+    counts = words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
     raw = counts.join(kept, [*by, "term"]).withColumn("_w", F.col("tf") * F.col("idf"))
     # one document's terms, so the window is bounded by the document
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*by, "doc")))

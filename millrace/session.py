@@ -37,6 +37,16 @@ def salts(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of fewer files than there are cores, dealt out to all cores; others as they are.
+
+    For work that costs far more than moving the rows, on tables too small to be
+    split by the scan. Nothing depends on it but time.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
