@@ -164,6 +164,22 @@ def _(t: Tables):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "snk_02_publish_table",
+    """select o_orderkey, o_orderstatus, count(l_orderkey) as n_lines, round_even(coalesce(sum(l_extendedprice), 0), 2) as amount
+       from orders left join lineitem on l_orderkey = o_orderkey group by all""",
+)
+def _(t: Tables):
+    """Header and detail tables in buckets by their key, joined and grouped without a shuffle."""
+    where = scratch_path(t.spark, "bucketed")
+    writers.publish_table(t.orders.select("o_orderkey", "o_orderstatus"), "header_rows", bucket_by=["o_orderkey"], buckets=8, path=where)
+    writers.publish_table(t.lineitem.select("l_orderkey", "l_extendedprice"), "detail_rows", bucket_by=["l_orderkey"], buckets=8, path=where)
+    head, detail = t.spark.table("header_rows"), t.spark.table("detail_rows")
+    lines = detail.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.sum("l_extendedprice").alias("amount"))
+    both = head.join(lines, head.o_orderkey == lines.l_orderkey, "left")
+    return both.select("o_orderkey", "o_orderstatus", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.bround(F.coalesce("amount", F.lit(0.0)), 2).alias("amount"))
+
+
 SPLIT = "timestamp_ntz'2024-01-16 00:00:00'"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
@@ -23,15 +24,48 @@ def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table, optionally split by columns so readers can prune."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace a Parquet table, optionally split by columns so readers can prune.
 
-
-def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table of the session's catalog."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    The new table is written beside the old one and takes its place when it is
+    whole, so a write that fails leaves the old table as it was.
+    """
+    spark, own = df.sparkSession, uuid.uuid4().hex
+    writer = df.write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}-new-{own}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new, at, old = hadoop(f"{path}-new-{own}"), hadoop(path), hadoop(f"{path}-old-{own}")
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaces = store.exists(at)
+    if replaces and not store.rename(at, old):
+        raise OSError(f"cannot move {path}")
+    if not store.rename(new, at):
+        if replaces:
+            store.rename(old, at)
+        raise OSError(f"cannot put the new table at {path}")
+    if replaces:
+        store.delete(old, True)
+
+
+def publish_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int = 0, path: str | None = None
+) -> None:
+    """Replace a table of the session's catalog, optionally split by columns or into sorted buckets.
+
+    Tables with as many buckets by their join keys meet without a shuffle. The
+    new table is written under a name of its own, below ``path`` if given, and
+    then takes the old one's, so a write that fails leaves the old table.
+    """
+    own = f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    if path:
+        writer = writer.option("path", f"{path}/{own}")
+    writer.saveAsTable(own)
+    df.sparkSession.sql(f"drop table if exists {name}")
+    df.sparkSession.sql(f"alter table {own} rename to {name}")
 
 
 def to_json_records(df: DataFrame, out: str = "record") -> DataFrame:
