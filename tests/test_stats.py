@@ -110,3 +110,31 @@ def test_density_integrates_to_one(spark, folder):
     rows = sorted((r["x"], r["density"]) for r in H.kde(df, "v", 200).collect())
     x, d = np.array(rows).T
     assert np.trapezoid(d, x) == pytest.approx(1.0, abs=0.05)
+
+
+@pytest.mark.parametrize("by", [None, "g"])
+def test_density_by_cells_equals_the_sum_over_rows(spark, by):
+    rng = np.random.default_rng(3)
+    far = np.concatenate([rng.normal(0, 1, 300), rng.normal(1e6, 1e-3, 200), [-5e7, 1e9]])
+    values = {"a": far, "b": rng.normal(5, 1e-30, 40), "c": np.array([7.0, 7.0]), "d": np.array([1.0]), "e": rng.exponential(3, 500)}
+    rows = [(g, float(x)) for g, v in values.items() for x in v] + [("a", None), ("a", float("nan"))] + ([(None, 3.0)] if by else [])
+    got = {}
+    for r in H.kde(spark.createDataFrame(rows, "g string, v double"), "v", 30, by, 40).collect():
+        got.setdefault(r[by] if by else None, {})[r.point] = r.density
+    groups = values if by else {None: np.concatenate(list(values.values()))}
+    everything = np.concatenate(list(values.values()))
+    xs = np.linspace(everything.min(), everything.max(), 30)
+    wanted = {g: v for g, v in groups.items() if len(v) > 1 and v.std() > 0}
+    assert got.keys() == wanted.keys()
+    for g, v in wanted.items():
+        h = v.std(ddof=1) * len(v) ** -0.2
+        d = np.exp(-0.5 * ((xs[:, None] - v) / h) ** 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert [got[g][k] for k in range(30)] == pytest.approx(list(d), rel=1e-6, abs=1e-12 / h)
+
+
+def test_density_work_per_row_does_not_depend_on_the_points(spark):
+    df = spark.range(1000).select(F.rand(1).alias("v"))
+    for points in (5, 500):
+        lines = H.kde(df, "v", points)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        sums = next(k for k, line in enumerate(lines) if "Aggregate" in line and "_t8" in line)
+        assert "EXP(" in "".join(lines[:sums]) and "EXP(" not in "".join(lines[sums:])
