@@ -6,7 +6,7 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import columns as C, text as X
 from millrace.operators import cleaning, joins, ordering
@@ -134,17 +134,34 @@ def _(t: Tables):
     return t.spark.read.parquet(path).select("event_type", "day", "n")
 
 
-@query("src_08_features", "select cast(c_custkey as varchar) as code, c_name as name, 'Point' as geometry_type from customer")
-def _(t: Tables):
+FEATURE_SQL = "select cast(c_custkey as varchar) as code, c_name as name, 'Point' as geometry_type from customer"
+
+
+def feature_files(t: Tables, per_document: int) -> str:
+    """Customers as feature collections, one a line."""
     path = scratch_path(t.spark, "features")
     props = F.create_map(F.lit("code"), F.col("c_custkey").cast("string"), F.lit("name"), F.col("c_name"))
     point = F.struct(F.lit("Point").alias("type"), F.array(F.lit(10.5), F.lit(20.5)).alias("coordinates"))
     feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"), point.alias("geometry"))
-    # one collection per hundred customers, one collection per line
-    docs = t.customer.groupBy(F.floor(F.col("c_custkey") / 100).alias("g")).agg(F.collect_list(feature).alias("features"))
+    docs = t.customer.groupBy(F.floor(F.col("c_custkey") / per_document).alias("g")).agg(F.collect_list(feature).alias("features"))
     docs.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.text(path)
-    out = readers.read_features(t.spark, path, multi_line=False)
-    return out.select(F.col("properties")["code"].alias("code"), F.col("properties")["name"].alias("name"), "geometry_type")
+    return path
+
+
+def feature_columns(features: DataFrame) -> DataFrame:
+    return features.select(F.col("properties")["code"].alias("code"), F.col("properties")["name"].alias("name"), "geometry_type")
+
+
+@query("src_08_features", FEATURE_SQL)
+def _(t: Tables):
+    """One document a line: a file is split between tasks."""
+    return feature_columns(readers.read_features(t.spark, feature_files(t, 100), multi_line=False))
+
+
+@query("src_08_large_documents", FEATURE_SQL)
+def _(t: Tables):
+    """Documents of any size, read feature by feature."""
+    return feature_columns(readers.read_features(t.spark, feature_files(t, 1000)))
 
 
 # ------------------------------------------------------------------ sinks
