@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -276,12 +277,15 @@ def _(t: Tables):
 # -------------------------------------------------------------------- marts
 
 
-def event_marts(t: Tables, pin: bool = False):
+def event_dimension(t: Tables) -> DataFrame:
     dim = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     # keys moved by twenty leave events of twenty users without a match
-    dim = dim.select((F.col("c_custkey") + 20).alias("user_id"), F.col("r_name").alias("area"), F.col("n_name").alias("place"))
+    return dim.select((F.col("c_custkey") + 20).alias("user_id"), F.col("r_name").alias("area"), F.col("n_name").alias("place"))
+
+
+def event_marts(t: Tables, pin: bool = False):
     fact = M.hourly_fact(t.events.select("event_id", "ts", "user_id", "event_type", "value"), "ts")
-    return M.build_marts(fact, dim, "user_id", "area", "place", "event_type", "value", ["event_id"], pin=pin)
+    return M.build_marts(fact, event_dimension(t), "user_id", "area", "place", "event_type", "value", ["event_id"], pin=pin)
 
 
 FACT = """dim as (select c_custkey + 20 as user_id, r_name as area, n_name as place from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
@@ -355,6 +359,20 @@ def _(t: Tables):
     return reduce(DataFrame.unionByName, read)
 
 
+@query("qc_02_mart_by_days", level_sql("area, place, hour"))
+def _(t: Tables):
+    """A table of reduced days: all days as they were, then the first half of them brought up to date."""
+    path = scratch_path(t.spark, "days")
+    fact = M.hourly_fact(t.events.select("event_id", "ts", "user_id", "event_type", "value"), "ts")
+    first, last = fact.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    days = [first + timedelta(days=k) for k in range((last - first).days + 1)]
+    half, names = days[: len(days) // 2], ("user_id", "area", "place", "event_type", "value", "ts", path)
+    stale = fact.withColumn("value", F.when(F.to_date("ts") < F.lit(days[len(half)]), F.lit(-1.0)).otherwise(F.col("value")))
+    for rows, some in [(stale, days), (fact, half)]:
+        M.refresh_days(rows, event_dimension(t), *names, some)
+    return M.marts_of(t.spark.read.parquet(path), "area", "place", "event_type")["place_hours"]
+
+
 # ---------------------------------------------------------------- streaming
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,6 +37,26 @@ def level_means(fine: DataFrame, keys: Sequence[str], split: str, label: str, sc
     return both.select(*keys, shown, "n", F.bround(safe_ratio("_s", "n"), scale).alias("mean"))
 
 
+def fine_mart(fact: DataFrame, dim: DataFrame, on: str, area: str, place: str, category: str, value: str, missing: str = "unassigned", by: Sequence[str] = ()) -> DataFrame:
+    """The fact joined and reduced once to (by, area, place, category, hour, day type).
+
+    Counts and sums are kept, so such tables of different days add up.
+    """
+    rows = enrich(fact, dim, [on], {area: missing, place: missing})
+    return rows.groupBy(*by, area, place, category, "hour", "day_type").agg(F.count(value).alias("_n"), F.sum(value).alias("_s"))
+
+
+def marts_of(fine: DataFrame, area: str, place: str, category: str, label: str = "all") -> dict[str, DataFrame]:
+    """The marts by hour, by place and by category, read off a reduced fact of one or many days."""
+    by_hour = fine.groupBy(area, place, "hour").agg(F.sum("_n").alias("n"), F.sum("_s").alias("_s"))
+    return {
+        "area_hours": level_means(fine, [area, "hour"], "day_type", label),
+        "place_hours": level_means(fine, [area, place, "hour"], "day_type", label),
+        "categories": fine.groupBy(area, place, category).agg(F.bround(F.sum("_s"), 2).alias("total")),
+        "time_pattern": by_hour.select(area, place, "hour", "n", F.bround(safe_ratio("_s", "n"), 8).alias("mean")),
+    }
+
+
 def build_marts(
     fact: DataFrame, dim: DataFrame, on: str, area: str, place: str, category: str, value: str, sample_keys: Sequence[str], label: str = "all", missing: str = "unassigned", pin: bool = False
 ) -> dict[str, DataFrame]:
@@ -45,19 +67,33 @@ def build_marts(
     table, which ``pin`` writes once for all of them. Only the row sample goes
     back to the fact.
     """
-    rows = enrich(fact, dim, [on], {area: missing, place: missing})
-    fine = rows.groupBy(area, place, category, "hour", "day_type").agg(F.count(value).alias("_n"), F.sum(value).alias("_s"))
+    fine = fine_mart(fact, dim, on, area, place, category, value, missing)
     fine = pinned(fine) if pin else fine
-    by_hour = fine.groupBy(area, place, "hour").agg(F.sum("_n").alias("n"), F.sum("_s").alias("_s"))
-    totals = fine.groupBy(area, place, category).agg(F.bround(F.sum("_s"), 2).alias("total"))
-    return {
-        "area_hours": level_means(fine, [area, "hour"], "day_type", label),
-        "place_hours": level_means(fine, [area, place, "hour"], "day_type", label),
-        "categories": totals,
-        "time_pattern": by_hour.select(area, place, "hour", "n", F.bround(safe_ratio("_s", "n"), 8).alias("mean")),
-        "sample": sample_frac(rows, sample_keys, 10),
-        "dimension": dim,
-    }
+    rows = enrich(fact, dim, [on], {area: missing, place: missing})
+    return {**marts_of(fine, area, place, category, label), "sample": sample_frac(rows, sample_keys, 10), "dimension": dim}
+
+
+def refresh_days(fact: DataFrame, dim: DataFrame, on: str, area: str, place: str, category: str, value: str, ts: str, path: str, days: Sequence[date], missing: str = "unassigned") -> None:
+    """Bring the given days of a table of reduced days up to date; other days are not touched.
+
+    Only rows of those days are read from the fact, their time bounds reaching
+    the scan. A day's old rows give way when all new ones are written, so a
+    failure changes nothing and a repeated call gives the same table. A day that
+    has lost all its rows goes. The marts are ``marts_of`` the table at ``path``.
+    """
+    spark = fact.sparkSession
+    if not days:
+        return
+    kind = fact.schema[ts].dataType
+    within = [(F.col(ts) >= F.lit(d).cast(kind)) & (F.col(ts) < F.lit(d + timedelta(days=1)).cast(kind)) for d in sorted(set(days))]
+    rows = fact.where(reduce(Column.__or__, within)).withColumn("day", F.to_date(ts))
+    fine = pinned(fine_mart(rows, dim, on, area, place, category, value, missing, ["day"]))
+    fine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    left = {r.day for r in fine.select("day").distinct().collect()}  # as many as days were given
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for d in set(days) - left:
+        folder = hadoop(f"{path}/day={d}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def dense_categories(categories: DataFrame, area: str, place: str, category: str) -> DataFrame:
