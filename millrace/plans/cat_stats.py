@@ -6,8 +6,10 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import distributions as H, stats as S
+from millrace.operators import distributions as H, sketches as K, stats as S
+from millrace.operators.joins import salted_join
 from millrace.plans.registry import Tables, query, rnd
+from millrace.session import scratch_path
 
 LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -269,6 +271,47 @@ def _(t: Tables):
     return S.profile(t.events, ["value", "user_id"], ["event_type"])
 
 
+def daily_sketches(t: Tables):
+    """Sketches of every day and event type, written once."""
+    path = scratch_path(t.spark, "sketches")
+    events = t.events.select(F.to_date("ts").alias("day"), "event_type", "user_id", "value")
+    K.sketched(events, ["value", "user_id"], ["event_type"], ["day", "event_type"]).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "sx_17_profile_sketched",
+    " union all ".join(
+        f"""select '{c}' as "column", count(*) as rows, count_if({c} is null) as nulls, {f"cast(min({c}) as double)" if c != "event_type" else "null::double"} as min,
+          {rnd(f"avg({c})") if c != "event_type" else "null::double"} as mean, true as distinct_near, true as top_near from events"""
+        for c in ["value", "user_id", "event_type"]
+    ),
+)
+def _(t: Tables):
+    """A profile from merged sketches of days, its errors held against the exact one."""
+    near = K.estimates(K.merged(daily_sketches(t).drop("event_type")))
+    exact = S.describe_categorical(t.events, ["value", "user_id", "event_type"]).select("column", "unique", F.col("freq").alias("_most"))
+    distinct = F.abs(F.col("distinct") - F.col("unique")) <= F.col("unique") * K.distinct_error()
+    # no value is as frequent, or the one named is nearly as frequent as the first
+    top = F.abs(F.coalesce("freq", F.lit(0)) - F.col("_most")) <= 2 * K.frequency_error() * F.col("rows")
+    return near.join(exact, "column").select("column", "rows", "nulls", "min", "mean", distinct.alias("distinct_near"), top.alias("top_near"))
+
+
+@query("ag_06_five_number_sketched", "select event_type, count(value) as n, min(value) as min, max(value) as max, true as q1_near, true as median_near, true as q3_near from events group by 1")
+def _(t: Tables):
+    """Five numbers by type from sketches of days, their ranks held against the rows."""
+    days = daily_sketches(t).where(F.col("column") == "value")
+    five = K.estimates(K.merged(days, ["event_type"]), ["event_type"]).select("event_type", "min", "q1", "median", "q3", "max")
+    rows = salted_join(t.events.select("event_type", "value", "event_id").where("value is not null"), five, ["event_type"], "event_id")
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    ranks = rows.groupBy("event_type", *five.columns[1:]).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("value") < F.col(q)).alias(f"_b_{q}") for q in probs], *[F.count_if(F.col("value") <= F.col(q)).alias(f"_u_{q}") for q in probs]
+    )
+    slack = F.col("n") * K.rank_error()
+    near = [((F.col(f"_b_{q}") <= F.col("n") * p + slack) & (F.col(f"_u_{q}") >= F.col("n") * p - slack)).alias(f"{q}_near") for q, p in probs.items()]
+    return ranks.select("event_type", "n", "min", "max", *near)
+
+
 @query(
     "sx_18_shape_label",
     """select l_suppkey, case when s > 1 then 'right-skewed' when s < -1 then 'left-skewed' else 'even' end as side,
