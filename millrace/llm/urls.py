@@ -14,11 +14,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.shared import only
+from millrace.llm.shared import only, written
 
 TRAINING_URLS = 10_000
 ROUNDS, DEPTH, SEED = 20, 4, 7
 SMOOTHING = 10.0
+# Last labels of hosts are counted in so many buckets, apart for so many folds of sites.
+BUCKETS, FOLDS = 4096, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,8 +61,14 @@ def with_rules(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     return d.withColumns({"rule": rule, "ruled": verdict})
 
 
-def _suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def _fold(host: Column) -> Column:
+    """The fold of a host, by its last two labels, so all of a site is in one."""
+    return F.pmod(F.xxhash64(F.substring_index(host, ".", -2)), F.lit(FOLDS)).cast("int")
+
+
+def _bucket(host: Column) -> Column:
+    """Where the host's last label is counted."""
+    return F.pmod(F.xxhash64(F.substring_index(host, ".", -1)), F.lit(BUCKETS)).cast("int")
 
 
 FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digits", "host_digits", "hyphens", "entropy", "parameters", "fragment", "extension", "suffix_rate", "suffix_size"]
@@ -79,19 +87,28 @@ def with_features(d: DataFrame) -> DataFrame:
         "digits": count(url, "[0-9]") / n, "host_digits": count(F.col("host"), "[0-9]"), "hyphens": count(F.col("host"), "-"),
         "entropy": entropy, "parameters": count(query, "[^&]+"), "fragment": url.contains("#"), "extension": F.col("path").rlike(r"\.[A-Za-z0-9]+$"),
     }
-    return d.withColumns({k: v.cast("double") for k, v in columns.items()}).withColumn("suffix", _suffix(F.col("host")))
+    return d.withColumns({k: v.cast("double") for k, v in columns.items()})
 
 
 @dataclass
 class UrlModel:
-    """Trees, and the blocked share of labelled URLs by host suffix."""
+    """Trees, and counts of labelled URLs by bucket of the last label and fold of the site.
+
+    A URL, learnt from or judged, gets the blocked share of the other folds, so
+    its own site's labels are never among its features.
+    """
 
     trees: GBTClassificationModel | None
     suffixes: DataFrame
     base_rate: float
 
     def with_suffixes(self, d: DataFrame) -> DataFrame:
-        return d.join(self.suffixes, "suffix", "left").fillna({"suffix_rate": self.base_rate, "suffix_size": 0.0})
+        # BUCKETS rows at most
+        d = d.withColumn("bucket", _bucket(F.col("host"))).join(F.broadcast(self.suffixes), "bucket", "left")
+        others = F.filter(F.coalesce("folds", F.array().cast("array<struct<fold:int,n:bigint,blocked:double>>")), lambda x: x["fold"] != _fold(F.col("host")))
+        total = lambda name: F.aggregate(others, F.lit(0.0), lambda a, x: a + x[name])
+        rate = (total("blocked") + SMOOTHING * self.base_rate) / (total("n") + SMOOTHING)
+        return d.withColumns({"suffix_rate": rate, "suffix_size": F.log1p(total("n"))}).drop("bucket", "folds")
 
     def block_probability(self, d: DataFrame) -> DataFrame:
         d = self.with_suffixes(with_features(d))
@@ -104,12 +121,14 @@ class UrlModel:
 def fit_urls(ruled: DataFrame) -> UrlModel:
     """Train on the ``TRAINING_URLS`` first labelled URLs by a hash of the URL.
 
-    Suffix statistics count all labelled URLs, smoothed towards the overall
-    share. With labels of one kind only there are no trees and the share decides.
+    Suffix statistics count all labelled URLs, smoothed towards the overall share:
+    one row for each of ``BUCKETS`` buckets, however many hosts there are. With labels of one kind only there are no trees and the share decides.
     """
     labelled = ruled.where("ruled is not null").withColumn("label", (F.col("ruled") == "block").cast("double"))
     rate = labelled.agg(F.avg("label")).first()[0] or 0.0
-    suffixes = labelled.groupBy(_suffix(F.col("host")).alias("suffix")).agg(((F.sum("label") + SMOOTHING * rate) / (F.count("*") + SMOOTHING)).alias("suffix_rate"), F.log1p(F.count("*")).alias("suffix_size"))
+    cells = labelled.groupBy(_bucket(F.col("host")).alias("bucket"), _fold(F.col("host")).alias("fold")).agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
+    # written, as training and judging both read it
+    suffixes = written(cells.groupBy("bucket").agg(F.collect_list(F.struct("fold", "n", "blocked")).alias("folds")), "suffixes")
     model = UrlModel(None, suffixes, rate)
     if rate in (0.0, 1.0):
         return model
@@ -123,9 +142,10 @@ def url_verdicts(pages: DataFrame, rules: list[Rule], page_id: str = "page_id",
     """Per row: page_id, host, path, rule, verdict, p_block.
 
     A null URL or one without ``://`` has an empty host and path, fits no rule
-    and is judged by the trees on what features it has. Null ids are carried
-    along, repeated rows get equal results, an empty table gives none, other
-    columns are ignored.
+    and is judged by the trees on what features it has. URLs of any length are
+    judged whole. Of rules of equal length one that comes later wins; a
+    probability of one half allows. Null ids are carried along, repeated rows get
+    equal results, an empty table gives none, other columns are ignored.
     """
     ruled = with_rules(only(pages, page_id=page_id, url=url), rules)
     model = model or fit_urls(ruled)

@@ -1,6 +1,9 @@
+import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import urls
 from millrace.llm.queries import QUERIES, URL_RULES
 
@@ -68,3 +71,25 @@ def test_held_out_accuracy(spark):
     rows = urls.url_verdicts(spark.createDataFrame(pages, "page_id long, url string"), rules).where("rule is null").collect()
     right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in rows)
     assert len(rows) > 150 and right >= 0.95 * len(rows)
+
+
+def test_a_site_does_not_see_its_own_labels(spark):
+    """Suffix statistics are those of the other folds, by brute force."""
+    rng = random.Random(8)
+    hosts = [f"{a}{k}.{tld}" for a in "ab" for k in range(12) for tld in ("one", "two")]
+    rows = [(f"http://www.{h}/{rng.randrange(9)}", f"www.{h}", "/", rng.choice(["block", "allow"])) for h in hosts for _ in range(rng.randint(1, 4))]
+    df = spark.createDataFrame(rows, "url string, host string, path string, ruled string")
+    model = urls.fit_urls(df)
+    got = model.with_suffixes(df.select("*", urls._fold(F.col("host")).alias("f"))).distinct().collect()
+    fold = {r.host: r.f for r in got}
+    base = sum(r[3] == "block" for r in rows) / len(rows)
+    for r in got:
+        tld = r.host.rpartition(".")[2]
+        other = [v for _, h, _, v in rows if h.endswith("." + tld) and fold[h] != r.f]
+        rate = (other.count("block") + urls.SMOOTHING * base) / (len(other) + urls.SMOOTHING)
+        assert abs(r.suffix_rate - rate) < 1e-9 and abs(r.suffix_size - math.log1p(len(other))) < 1e-9
+
+
+def test_pages_are_not_shuffled(spark, folder):
+    plan = QUERIES["op10_url_verdicts"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Python" not in plan
