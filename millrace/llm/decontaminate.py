@@ -188,10 +188,12 @@ def marked_documents(
     """Per row of ``docs``: doc_id, n_words, spans (word positions, merged), items, and the text if asked for.
 
     A window is ``window`` consecutive words of an item; a shorter item is one
-    window, an item without words none. Null texts have no words; null ids are
-    carried along; repeated rows give repeated results; an empty benchmark
-    leaves every document clean. Only the named columns are read; those of
-    ``carry`` come back in the struct ``rest``.
+    window, an item without words none. Null texts have no words; a text of any
+    length is searched whole; spans that overlap or touch are one, and items with
+    equal windows are all named. Null ids are carried along; repeated rows give
+    repeated results; an empty table gives none; an empty benchmark leaves every
+    document clean. Only the named columns are read; those of ``carry`` come back
+    in the struct ``rest``.
     """
     light_batches(docs.sparkSession)
     rest = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("rest")] if carry else []

@@ -78,7 +78,9 @@ def license_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Every distinct unit is matched with its best template at or above
     ``threshold``; ties go to the last name. Bigrams count as often as they
-    occur. Null and empty texts have no matches; null ids are carried along;
+    occur. Null and empty texts have no matches; texts of any length are cut into
+    units whole, and a notice that shares its line and paragraph with other words
+    may be lost; null ids are carried along;
     repeated rows get equal results; an empty table gives none; other columns
     are ignored.
     """

@@ -159,8 +159,10 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
     """Per row: doc_id, assign, access, hex, random: the spans of each kind.
 
     Spans hold start and end in code points, end exclusive, and the value. A null
-    or empty text has none; null ids are carried along; repeated rows get equal
-    results; an empty table gives none; other columns are ignored.
+    or empty text has none; a text of any length is searched whole, in time that
+    grows with its matches squared; of spans of one kind that overlap the first
+    stays. Null ids are carried along; repeated rows get equal results; an empty
+    table gives none; other columns are ignored.
     """
     model = model or fit_markov(docs, doc_id, text)
     d = only(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
