@@ -5,6 +5,7 @@ punctuation n-grams (one and two tokens): one counted on trusted documents, one
 on the whole corpus. A document's score is its mean log ratio per n-gram, so
 long and short texts are judged alike. Every document whose score is below one
 fixed threshold is rejected; the threshold is set from the trusted documents.
+All documents and all labels take part in the counts and in the threshold.
 
 Everything is built-in expressions; hashed counts have a fixed size, so the
 weights that come back to the driver do too.
@@ -17,10 +18,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.shared import only
+from millrace.llm.shared import discard, only, roughly_in, roughly_marked, written
+from millrace.operators.quantiles import quantiles
 
 BUCKETS = 10_000
-TRUSTED_SAMPLE = 20_000
 PRIOR = 100_000
 LOST_SHARE = 0.001
 MARGIN = 0.03
@@ -52,8 +53,8 @@ class QualityModel:
         return F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
 
 
-def _tokens(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return only(docs, doc_id=doc_id, text=text).select("doc_id", _all(F.coalesce("text", F.lit("")), TOKEN).alias("tokens"))
+def _tokens(docs: DataFrame, *kept: str) -> DataFrame:
+    return docs.select(*kept, _all(F.coalesce("text", F.lit("")), TOKEN).alias("tokens"))
 
 
 def _score(model: QualityModel) -> Column:
@@ -68,41 +69,54 @@ def _score(model: QualityModel) -> Column:
     return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), one) / (2 * n - 1)).otherwise(0.0)
 
 
+def _counts(docs: DataFrame) -> dict[int, tuple[int, int]]:
+    """Occurrences of each bucket in all documents and in those with a ``mark``."""
+    n = F.size("tokens")
+    pairs = F.transform(F.slice("tokens", 1, F.greatest(n - 1, F.lit(0))), lambda t, i: _bucket(t, F.get("tokens", i + 1)))
+    buckets = _tokens(docs, "mark").select("mark", F.explode(F.concat(F.transform("tokens", lambda t: _bucket(t)), pairs)).alias("bucket"))
+    return {r.bucket: (r.n, r.marked) for r in buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("mark").alias("marked")).collect()}
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", label_id: str = "doc_id") -> QualityModel:
     """Count both multinomials and set the threshold.
 
-    The corpus side counts every document. The trusted side counts documents
-    labelled 1: of the ``TRUSTED_SAMPLE`` first by a hash of their id, so that the
-    set broadcast to the scan has a fixed size, one half is counted, shrunk
-    towards the corpus by ``PRIOR`` n-grams, and the other half sets the
-    threshold: ``MARGIN`` below the score that all but ``LOST_SHARE`` of its
-    documents with enough tokens reach. Those were not counted as
-    trusted, just as the documents to be judged were not. Without trusted
-    documents nothing is rejected.
+    The corpus side counts every document. Of all documents labelled 1 one half,
+    by a hash of the id, is counted as trusted, shrunk towards the corpus by
+    ``PRIOR`` n-grams, and the other half sets the threshold: ``MARGIN`` below
+    the score that all but ``LOST_SHARE`` of its documents with enough tokens
+    reach. Those were not counted as trusted, just as the documents to be judged
+    were not. Without trusted documents nothing is rejected.
+
+    Ids are never gathered, however many there are. A broadcast bitmap of their
+    hashes marks documents in the pass that counts the corpus; the others it
+    marks by chance are found by their ids alone, and what they added is taken
+    off again. Of the held-out half ids meet scores, not texts.
     """
-    good = only(labels, id=label_id, label=label).where("label = 1 and id is not null").select(F.col("id").cast("long").alias("id")).distinct()
-    good = good.orderBy(F.xxhash64("id"), "id").limit(TRUSTED_SAMPLE)
-    halves = good.select("id", F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int").alias("half")).collect()
-    sample = docs.sparkSession.createDataFrame([tuple(r) for r in halves], "doc_id long, half int")
-    marked = _tokens(docs, doc_id, text).join(F.broadcast(sample.where("half = 0")), "doc_id", "left")
-    n = F.size("tokens")
-    pairs = F.transform(F.slice("tokens", 1, F.greatest(n - 1, F.lit(0))), lambda t, i: _bucket(t, F.get("tokens", i + 1)))
-    counted = (
-        marked.select("half", F.explode(F.concat(F.transform("tokens", lambda t: _bucket(t)), pairs)).alias("bucket"))
-        .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("half").alias("trusted")).collect()
-    )
+    good = only(labels, id=label_id, label=label).where("label = 1 and id is not null").select(F.col("id").cast("long").alias("doc_id")).distinct()
+    good = written(good.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))), "trusted")
+    counted, held = (good.where(F.col("half") == h).select("doc_id") for h in (0, 1))
+    own = only(docs, doc_id=doc_id, text=text)
+
+    counts = _counts(roughly_marked(own, "doc_id", counted, "mark"))
+    chance = written(roughly_in(own.select("doc_id"), "doc_id", counted).join(counted, "doc_id", "left_anti").distinct(), "chance")
+    # the ids are distinct; a semi join would be moved below the bitmap and shuffle all texts
+    wrong = _counts(roughly_in(own, "doc_id", chance).join(chance, "doc_id").withColumn("mark", F.lit(True)))
     raw, trusted = [1] * BUCKETS, [0] * BUCKETS
-    for r in counted:
-        raw[r.bucket] += r.raw
-        trusted[r.bucket] += r.trusted
+    for bucket, (n, marked) in counts.items():
+        raw[bucket] += n
+        trusted[bucket] += marked - wrong.get(bucket, (0, 0))[0]
     n_raw, n_trusted = sum(raw), sum(trusted)
     if not n_trusted:
+        discard(docs.sparkSession, good, chance)
         return QualityModel([0.0] * BUCKETS, 0.0)
     model = QualityModel([math.log((t * n_raw / r + PRIOR) / (n_trusted + PRIOR)) for t, r in zip(trusted, raw)], 0.0)
-    held = _tokens(docs, doc_id, text).join(F.broadcast(sample.where("half = 1")), "doc_id", "left_semi")
+
     long = F.size("tokens") >= MIN_WORDS
-    cut = held.select(F.when(long, _score(model)).alias("score")).agg(F.percentile("score", LOST_SHARE)).first()[0]
-    return QualityModel(model.weights, min(0.0, cut - MARGIN) if cut is not None else -math.inf)
+    scores = _tokens(roughly_in(own, "doc_id", held), "doc_id").select("doc_id", F.when(long, _score(model)).alias("score"))
+    scores = written(scores.join(held, "doc_id").select("score"), "scores")
+    cut = quantiles(scores, "score", [LOST_SHARE]).first()
+    discard(docs.sparkSession, good, chance, scores)
+    return QualityModel(model.weights, min(0.0, cut.q[0] - MARGIN) if cut else -math.inf)
 
 
 def quality(docs: DataFrame, labels: DataFrame | None, doc_id: str = "doc_id", text: str = "text", model: QualityModel | None = None, carry: bool = False) -> DataFrame:

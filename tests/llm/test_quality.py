@@ -2,9 +2,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import awkward_docs, frame, statistics
-from millrace.llm import quality
+from millrace.llm import quality, shared
 from millrace.llm.queries import QUERIES
 
 COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -66,3 +67,35 @@ def test_score_and_no_labels(spark):
     flat = quality.QualityModel([-0.5] * quality.BUCKETS, -math.inf)
     for r in quality.quality(frame(spark), None, model=flat).collect():
         assert r.score == pytest.approx(-0.5) or r.n_words == 0
+
+
+def test_every_label_takes_part(spark):
+    """Labels of 60,000 documents, 120 of which are there: all of these are trusted, not a sample of the labels."""
+    random.seed(2)
+    docs = frame(spark, [(d * 500, " ".join(f"{'good' if d < 120 else 'bad'}{random.randrange(40)}" for _ in range(60)), "x", "s", 1) for d in range(240)])
+    few = spark.createDataFrame([(d * 500, 1) for d in range(120)], "doc_id long, quality int")
+    many = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    want, got = quality.fit_quality(docs, few), quality.fit_quality(docs, many)
+    assert got == want and max(got.weights) > 0
+
+
+def test_threshold_by_brute_force(spark):
+    """The threshold lies below the score of all but the least share of the held-out half."""
+    random.seed(3)
+    docs = frame(spark, [(d, " ".join(f"w{random.randrange(300)}" for _ in range(80)), "x", "s", 1) for d in range(600)])
+    labels = docs.select("doc_id", F.lit(1).alias("quality")).where("doc_id < 400")
+    model = quality.fit_quality(docs, labels)
+    held = quality.quality(docs, None, model=quality.QualityModel(model.weights, 0.0)).join(labels, "doc_id")
+    held = sorted(r.score for r in held.where(F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 1).collect())
+    at = quality.LOST_SHARE * (len(held) - 1)
+    assert model.threshold == pytest.approx(min(0.0, held[0] + (held[1] - held[0]) * at - quality.MARGIN))
+
+
+def test_documents_marked_by_chance_are_not_counted(spark, monkeypatch):
+    """With a bitmap of 64 bits nearly every document is marked; only the labelled ones count as trusted."""
+    random.seed(4)
+    docs = frame(spark, [(d, " ".join(f"{'good' if d % 3 else 'bad'}{random.randrange(40)}" for _ in range(60)), "x", "s", 1) for d in range(300)])
+    labels = docs.where("doc_id % 3 > 0").select("doc_id", F.lit(1).alias("quality"))
+    want = quality.fit_quality(docs, labels)
+    monkeypatch.setattr(shared, "FILTER_BITS", 64)
+    assert quality.fit_quality(docs, labels) == want
