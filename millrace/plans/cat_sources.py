@@ -47,9 +47,9 @@ def _(t: Tables):
 
 @query("snk_01_quoted_csv", QUOTED_SQL)
 def _(t: Tables):
-    """One file with a byte-order mark, read by several tasks."""
+    """One file with a byte-order mark, written and read by several tasks."""
     path = scratch_path(t.spark, "quoted-csv")
-    writers.write_csv(_quoted(t).coalesce(1), path, mark=True)
+    writers.write_csv(_quoted(t), path, mark=True, one_file=True)
     return readers.read_csv(t.spark, path, QUOTED_CSV)
 
 

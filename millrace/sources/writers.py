@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 from collections.abc import Sequence
 
@@ -11,16 +13,56 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 MARK = "\ufeff"  # fixed value: the byte-order mark by which spreadsheets know UTF-8
 
 
-def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, mark: bool = False, one_file: bool = False) -> None:
     """A folder of CSV files with header lines, with a byte-order mark in front if asked.
 
     Quotes are doubled, blanks kept, '' is written in quotes and null as nothing,
     so ``read_csv`` gives back what was written. Only a row of one null column
     cannot be told from a blank line.
+
+    With ``one_file`` the folder holds a single file. On a mounted file system
+    (``file:``) all tasks write it, each its own range of bytes. Other stores have
+    one writer for a file, so there one task writes all rows.
     """
     out = df.withColumnRenamed(df.columns[0], MARK + df.columns[0]) if mark else df
-    rules = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
-    out.write.mode("overwrite").options(**rules).csv(path)
+    rules = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+
+    def write(rows: DataFrame, to: str, header: bool = True) -> None:
+        rows.write.mode("overwrite").options(header=header, **rules).csv(to)
+
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    at = hadoop(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not one_file or store.getUri().getScheme() != "file":
+        return write(out.coalesce(1) if one_file else out, path)
+    own = f"{path}-parts-{uuid.uuid4().hex}"
+    write(out.where(F.lit(False)), f"{own}/header")
+    write(out, f"{own}/rows", header=False)
+    parts, end = [], 0
+    for folder in ("header", "rows"):
+        files = {f.getPath().toUri().getPath(): f.getLen() for f in store.listStatus(hadoop(f"{own}/{folder}"))}
+        for name in sorted(f for f in files if f.endswith(".csv")):
+            parts.append((name, end))
+            end += files[name]
+    store.mkdirs(hadoop(f"{own}/whole"))
+    _put_together(spark, parts, hadoop(f"{own}/whole/part-00000.csv").toUri().getPath())
+    store.delete(at, True)
+    if not store.rename(hadoop(f"{own}/whole"), at):
+        raise OSError(f"cannot put the file at {path}")
+    store.delete(hadoop(own), True)
+
+
+def _put_together(spark: SparkSession, parts: list[tuple[str, int]], whole: str) -> None:
+    """Copy every file to its place in ``whole``, a task for each; a task that runs again writes the same bytes."""
+
+    def put(part: tuple[str, int]) -> None:
+        name, at = part
+        with open(name, "rb") as source, open(os.open(whole, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as target:
+            target.seek(at)
+            shutil.copyfileobj(source, target, 1 << 20)
+
+    spark.sparkContext.parallelize(parts, len(parts)).foreach(put)
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

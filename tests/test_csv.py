@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.plans.catalog import QUERIES
 from millrace.sources import csv_records, readers, writers
 
 SCHEMA = "k long, a string, b string, c string"
@@ -97,6 +98,33 @@ def test_round_trip(spark, tmp_path, small_blocks):
     assert ordered(readers.read_csv(spark, str(tmp_path / "out"), SCHEMA)) == rows
 
 
+def test_one_file_of_many_tasks(spark, tmp_path, small_blocks):
+    rows, path = some_rows(400, 11), str(tmp_path / "out")
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    for n in (len(rows), 0, len(rows)):  # takes the place of an older file; no rows give a header
+        writers.write_csv(df.where(F.col("k") < n), path, mark=True, one_file=True)
+        (file,) = [f for f in (tmp_path / "out").iterdir() if f.suffix == ".csv"]
+        text = file.read_bytes().decode()
+        assert text.startswith("\ufeff") and text.count("\ufeff") == 1 and text.count("k,a,b,c\n") == 1
+        assert ordered(readers.read_csv(spark, path, SCHEMA)) == rows[:n]
+    assert [f.name for f in tmp_path.iterdir()] == ["out"]
+
+
+def test_no_task_of_the_one_file_query_has_all_rows(spark, tmp_path, monkeypatch):
+    spark.range(4000).selectExpr("id as doc_id", "repeat('some text ', 20) as text", "'en' as lang", "'s' as source").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    most, write = [], writers.write_csv
+
+    def counted(df, *args, **kw):
+        most.append(df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        write(df, *args, **kw)
+
+    monkeypatch.setattr(writers, "write_csv", counted)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    assert QUERIES["snk_01_quoted_csv"](spark, str(tmp_path)).count() == 4000
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert most[0] <= 1000
+
+
 def test_odd_ends(spark, tmp_path):
     cases = {"open": ('k,a\n1,"never closed\nto the end', [(1, "never closed\nto the end")]), "empty": ("", []), "header": ("k,a\n", []), "no_end": ("k,a\n1,x", [(1, "x")]), "blank": ('k,a\n\n1,x\n   \n2,"y\n\nz"\n', [(1, "x"), (2, "y\n\nz")])}
     for name, (text, want) in cases.items():
