@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.text import WORD, strip_html, strip_non_word, tokens
 from millrace.operators.ordering import top_n_per_group
-from millrace.session import pinned, spread
+from millrace.session import pinned, scratch_path, spread
 
 
 def combined_text(columns: Sequence[str]) -> Column:
@@ -43,10 +43,39 @@ def term_counts(
     return words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _several(df: DataFrame, doc: str, by: Sequence[str]) -> DataFrame | None:
-    """Documents that have more than one row; None if there is no such document."""
-    several = pinned(df.select(*by, F.col(doc).alias("doc")).groupBy(*by, "doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    return None if several.isEmpty() else several
+def _several(df: DataFrame, doc: str, by: Sequence[str]) -> DataFrame:
+    """Documents that have more than one row, written: Catalyst knows their size and broadcasts few, or none."""
+    path = scratch_path(df.sparkSession, "several")
+    df.select(*by, F.col(doc).alias("doc")).groupBy(*by, "doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _met(rows: DataFrame, several: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Rows of documents with several rows, or (``left_anti``) all others; null keys are equal."""
+    same = F.lit(True)
+    for c in [*by, "doc"]:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return rows.alias("r").join(several.alias("s"), same, how)
+
+
+def _counts(rows: DataFrame, several: DataFrame, by: Sequence[str], kept: DataFrame | None) -> DataFrame:
+    """Occurrences (``tf``) of each term per document, of the ``kept`` terms only if given.
+
+    A row that is a document of its own is counted where it is read: equal words
+    stand side by side when sorted. Only the words of documents with several rows
+    are shuffled to be counted.
+    """
+
+    def wanted(words: DataFrame) -> DataFrame:
+        return words if kept is None else words.join(kept.select(*by, "term"), [*by, "term"], "left_semi")
+
+    once = _met(rows, several, by, "left_anti").select(*by, "doc", F.sort_array("words").alias("words"))
+    first = F.filter(F.transform("words", lambda w, i: i), lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1)))
+    once = once.select(*by, "doc", "words", first.alias("first"))
+    runs = F.transform("first", lambda p, k: F.struct(F.get("words", p).alias("term"), (F.coalesce(F.get("first", k + 1), F.size("words")) - p).cast("long").alias("tf")))
+    once = wanted(_exploded(once, by, runs, "_t").select(*by, "doc", "_t.*"))
+    many = wanted(_exploded(_met(rows, several, by, "left_semi"), by, "words", "term"))
+    return once.unionByName(many.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def term_totals(rows: DataFrame, several: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
@@ -58,12 +87,9 @@ def term_totals(rows: DataFrame, several: DataFrame | None, by: Sequence[str] =
     """
     by = list(by)
     if several is not None:
-        same = F.lit(True)
-        for c in [*by, "doc"]:
-            same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
-        many = _exploded(rows.alias("r").join(several.alias("s"), same, "left_semi"), by, "words", "term")
+        many = _exploded(_met(rows, several, by, "left_semi"), by, "words", "term")
         many = many.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("_a")).select(*by, "term", "_a", F.lit(1).cast("long").alias("_b"))
-        rows = rows.alias("r").join(several.alias("s"), same, "left_anti")
+        rows = _met(rows, several, by, "left_anti")
     once = F.concat(
         F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(1).cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"))),
         F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(0).cast("long").alias("_a"), F.lit(1).cast("long").alias("_b"))),
@@ -95,7 +121,11 @@ def vocabulary(
     if max_features is not None:
         order = [F.desc("_ttf"), F.asc("term")]
         terms = top_n_per_group(terms, by, order, max_features) if by else terms.orderBy(*order).limit(max_features)
-    return terms.withColumn("idf", F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).drop("_ttf")
+    return terms.withColumn("idf", _idf()).drop("_ttf")
+
+
+def _idf() -> Column:
+    return F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0
 
 
 def tfidf(
@@ -113,20 +143,20 @@ def tfidf(
 
     With ``by`` every group is a corpus of its own. Texts are not shuffled (but for
     tables of fewer files than cores): they are read once for the vocabulary and
-    once for the counts. A vocabulary limited
-    by ``max_features`` is written, and words outside of it are dropped before
-    the counts are shuffled.
+    once for the counts, which are made where a text is read. Counts are shuffled
+    twice, to their terms and back to their documents, as small whole numbers: weights are
+    worked out behind the last shuffle. A vocabulary limited by ``max_features`` is
+    written, and words outside of it are dropped before that.
     """
     by = list(by)
     rows = _rows(df, doc, text, by, pattern, stop)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs"))
-    kept = vocabulary(term_totals(rows, _several(df, doc, by), by), sizes, by, min_df, max_df, max_features)
-    words = _exploded(rows, by, "words", "term")
+    several = _several(df, doc, by)
+    kept = vocabulary(term_totals(rows, None if several.isEmpty() else several, by), sizes, by, min_df, max_df, max_features)
     if max_features is not None:
         kept = pinned(kept)
-        words = words.join(kept.select(*by, "term"), [*by, "term"], "left_semi")
-    counts = words.groupBy(*by, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
-    raw = counts.join(kept, [*by, "term"]).withColumn("_w", F.col("tf") * F.col("idf"))
+    counts = _counts(rows, several, by, kept if max_features is not None else None)
+    raw = counts.join(kept.drop("idf"), [*by, "term"]).repartition(*by, "doc").withColumn("_w", F.col("tf") * _idf())
     # one document's terms, so the window is bounded by the document
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*by, "doc")))
     return raw.select(*by, "doc", "term", "tf", "df", "n_docs", (F.col("_w") / length).alias("weight"))
