@@ -89,3 +89,12 @@ def test_texts_are_not_shuffled(spark, tmp_path):
     assert "RoundRobin" not in plan
     for line in plan.split("\n"):
         assert not ("Exchange" in line and ("t#" in line.split("plan_id")[0] or "words#" in line))
+
+
+def test_rows_that_are_documents_are_counted_where_they_are_read(spark, tmp_path):
+    spark.range(64).select(F.col("id").alias("d"), F.lit("b a b").alias("t")).repartition(64).write.parquet(str(tmp_path / "t"))
+    weights = K.tfidf(spark.read.parquet(str(tmp_path / "t")), "d", "t")
+    assert {(r.term, r.tf) for r in weights.collect()} == {("a", 1), ("b", 2)}
+    final = weights._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Final Plan" in final and "hashpartitioning(doc" in final
+    assert "term" not in "".join(x.split(")")[0] for x in final.split("hashpartitioning(doc")[1:])
