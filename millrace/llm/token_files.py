@@ -32,6 +32,11 @@ SEQUENCE = 2048
 BATCH_ROWS = 256
 # a full stop or comma between an ASCII letter and white space is a pre-token of its own
 LONE_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
+# characters that compose with a letter before them begin at U+0300, with a byte of 0xCC in UTF-8
+MAY_COMPOSE = re.compile(rb"[A-Z][\xcc-\xff]")
+# normalizers that leave a word of ASCII small letters as it is, and a split that hands it over whole
+WORDS_STAY = {"NFC", "Lowercase", "Replace"}
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHED_PIECES = 400_000
 MANIFEST = "shard int, tokens_file string, index_file string, n_docs long, n_ids long"
 
@@ -42,6 +47,20 @@ def _gather(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarra
     return pool[np.repeat(first - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)]
 
 
+def _plain_spec(spec: dict) -> dict | None:
+    """The same model behind a split at white space alone, which gives words of ASCII small letters the same ids.
+
+    None unless the tokenizer's steps before its model are known to leave such words whole.
+    """
+    normalizer, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    steps = normalizer.get("normalizers", [normalizer] if normalizer else [])
+    stays = all(s["type"] in WORDS_STAY and s.get("pattern", {"Regex": r"\s+"}) == {"Regex": r"\s+"} for s in steps)
+    match split.get("pretokenizers"):
+        case [{"type": "Split", "pattern": {"Regex": pattern}, "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}] if stays and pattern == WORD_SPLIT:
+            return spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+    return None
+
+
 class PieceEncoder:
     """Token ids of texts by way of the distinct pieces between ASCII white space.
 
@@ -59,6 +78,8 @@ class PieceEncoder:
         self.specials = [t["content"].encode() for t in spec["added_tokens"]]
         self.lowers = '"Lowercase"' in json.dumps(spec["normalizer"])
         self.size = self.tokenizer.get_vocab_size()
+        plain = _plain_spec(spec)
+        self.plain = Tokenizer.from_str(json.dumps(plain)) if plain else None
         suffix = spec["model"].get("end_of_word_suffix")
         self.is_end = np.zeros(self.size, bool)
         if suffix:
@@ -80,9 +101,6 @@ class PieceEncoder:
         self.ids = np.array([self.end_id], np.uint32)
         self.first, self.count = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def _tokenize(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids, and for each piece where its ids begin and how many they are.
 
@@ -90,22 +108,31 @@ class PieceEncoder:
         told apart by the ids that end a word; if those are not as many as the
         pieces, each piece goes alone.
         """
+
+        def ids(tokenizer, texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def flat(lists: list[list[int]]) -> np.ndarray:
+            return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
         is_word = np.fromiter(map(str.isalpha, pieces), bool, len(pieces)) & self.is_end.any()
-        words = [p for p, w in zip(pieces, is_word) if w]
-        runs = self._ids([" ".join(words[k : k + 200]) for k in range(0, len(words), 200)])
-        pool = np.fromiter(chain.from_iterable(runs), np.int64, sum(map(len, runs)))
-        ends = np.flatnonzero(self.is_end[pool]) + 1
-        if len(ends) != len(words) or len(ends) and ends[-1] != len(pool):
-            pool, ends, is_word = pool[:0], ends[:0], np.zeros(len(pieces), bool)
-        count = np.zeros(len(pieces), np.int64)
-        count[is_word] = np.diff(ends, prepend=0)
-        others = self._ids([p for p, w in zip(pieces, is_word) if not w])
-        count[~is_word] = np.fromiter(map(len, others), np.int64, len(others))
-        first = np.zeros(len(pieces), np.int64)
-        first[is_word] = ends - count[is_word]
-        first[~is_word] = len(pool) + np.cumsum(count[~is_word]) - count[~is_word]
-        rest = np.fromiter(chain.from_iterable(others), np.int64, int(count[~is_word].sum()))
-        return np.concatenate([pool, rest]), first, count
+        is_plain = np.fromiter((p.isascii() and p.islower() for p in pieces), bool, len(pieces)) & (self.plain is not None)
+        alone, pools, size = np.ones(len(pieces), bool), [], 0
+        first, count = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        for tokenizer, some in ((self.plain, is_word & is_plain), (self.tokenizer, is_word & ~is_plain)):
+            words = [pieces[k] for k in np.flatnonzero(some)]
+            pool = flat(ids(tokenizer, [" ".join(words[k : k + 200]) for k in range(0, len(words), 200)])) if words else np.zeros(0, np.int64)
+            ends = np.flatnonzero(self.is_end[pool]) + 1
+            if len(ends) != len(words) or len(ends) and ends[-1] != len(pool):
+                continue
+            alone &= ~some
+            count[some] = np.diff(ends, prepend=0)
+            first[some] = size + ends - count[some]
+            pools, size = [*pools, pool], size + len(pool)
+        others = ids(self.tokenizer, [pieces[k] for k in np.flatnonzero(alone)])
+        count[alone] = list(map(len, others))
+        first[alone] = size + np.cumsum(count[alone]) - count[alone]
+        return np.concatenate([*pools, flat(others)]), first, count
 
     def _drain(self) -> None:
         """Tokenize the queued pieces and file their ids."""
@@ -122,10 +149,11 @@ class PieceEncoder:
         look, rows = self.places.__getitem__, []
         for text in texts:
             raw = (text or "").encode()
-            # letters in front of other characters may compose with them, so only pieces of ASCII alone are lowered beforehand
-            lowers = self.lowers and not any(s in raw.lower() for s in self.specials)
-            whole = raw.isascii()
-            pieces = LONE_MARK.sub(rb" \1", raw.lower() if lowers and whole else raw).split()
+            lowered = raw.lower()  # ASCII letters only
+            lowers = self.lowers and not any(s in lowered for s in self.specials)
+            # a letter that may compose with what follows must meet it as it is
+            whole = raw.isascii() or not MAY_COMPOSE.search(raw)
+            pieces = LONE_MARK.sub(rb" \1", lowered if lowers and whole else raw).split()
             if lowers and not whole:
                 pieces = [p.lower() if p.isascii() else p for p in pieces]
             row = np.zeros(len(pieces) + 1, np.int32)

@@ -74,3 +74,28 @@ def test_files_hold_sequences_and_masks(spark, tmp_path):
             assert sum(flat) == shard.n_ids and flat[: shard.n_ids] == [True] * shard.n_ids
             total += shard.n_ids
     assert total == sum(3 * d + 1 for d in range(1, 30)) and sum(s.n_docs for s in manifest) == 29
+
+
+def test_letters_that_cannot_compose_are_lowered_before_pieces_are_told_apart():
+    encoder = token_files.PieceEncoder(PATH, 1)
+    texts = ["TÉst tÉst Été", "Y̊ ẙ T̸É", "AĀ I˿B Ž"]
+    ids, counts = encoder.encode(texts[:1])
+    assert len(encoder.places) == 2
+    ids, counts = encoder.encode(texts)
+    want = [tokenizer(PATH).encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_plain_words_take_the_short_way_of_known_tokenizers_only():
+    import json
+
+    encoder = token_files.PieceEncoder(PATH, 1)
+    words = ["the", "oftionnten", "Été", "été", "x1", "word's", "Shout", "zqxj"]
+    want = [tokenizer(PATH).encode(w, add_special_tokens=False).ids for w in words]
+    assert encoder.plain is not None
+    assert [encoder.plain.encode(w, add_special_tokens=False).ids for w in words if w.isascii() and w.isalpha() and w.islower()] == [want[0], want[1], want[7]]
+    pool, first, count = encoder._tokenize(words)
+    assert [pool[a : a + n].tolist() for a, n in zip(first, count)] == want
+    spec = json.loads(encoder.tokenizer.to_str())
+    for change in ({"normalizer": {"type": "Prepend", "prepend": "_"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}):
+        assert token_files._plain_spec(spec | change) is None
