@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.shared import discard, only, roughly_in, roughly_marked, written
 from millrace.operators.quantiles import quantiles
@@ -48,18 +48,23 @@ class QualityModel:
     weights: list[float]
     threshold: float
 
-    def column(self) -> Column:
-        """The weights as one constant array."""
-        return F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+    def column(self, spark: SparkSession) -> Column:
+        """The weights as one array, read where rows are scored.
+
+        As a constant they would stand in full in every plan and every text of a
+        plan that the driver makes and keeps.
+        """
+        table = spark.createDataFrame([(self.weights,)], "weights array<double>").coalesce(1)
+        return written(table, "weights").scalar()
 
 
 def _tokens(docs: DataFrame, *kept: str) -> DataFrame:
     return docs.select(*kept, _all(F.coalesce("text", F.lit("")), TOKEN).alias("tokens"))
 
 
-def _score(model: QualityModel) -> Column:
-    """Mean log ratio over ``tokens``; a text without tokens scores 0."""
-    weights = model.column()
+def _score() -> Column:
+    """Mean log ratio over ``tokens`` by ``weights``; a text without tokens scores 0."""
+    weights = F.col("weights")
 
     def one(total: Column, i: Column) -> Column:
         token, following = F.get("tokens", i), F.get("tokens", i + 1)
@@ -112,7 +117,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     model = QualityModel([math.log((t * n_raw / r + PRIOR) / (n_trusted + PRIOR)) for t, r in zip(trusted, raw)], 0.0)
 
     long = F.size("tokens") >= MIN_WORDS
-    scores = _tokens(roughly_in(own, "doc_id", held), "doc_id").select("doc_id", F.when(long, _score(model)).alias("score"))
+    tokens = _tokens(roughly_in(own, "doc_id", held), "doc_id").withColumn("weights", model.column(docs.sparkSession))
+    scores = tokens.select("doc_id", F.when(long, _score()).alias("score"))
     scores = written(scores.join(held, "doc_id").select("score"), "scores")
     cut = quantiles(scores, "score", [LOST_SHARE]).first()
     discard(docs.sparkSession, good, chance, scores)
@@ -136,12 +142,12 @@ def quality(docs: DataFrame, labels: DataFrame | None, doc_id: str = "doc_id", t
     row = ["row"] if carry else []
     d = docs.select(*([F.struct("*").alias("row")] if carry else []), F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
-    d = d.select(*row, "doc_id", _all(F.col("text"), TOKEN).alias("tokens"), _all(F.col("text"), WORD).alias("words"), lines.alias("lines"), F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"))
+    d = d.select(*row, "doc_id", _all(F.col("text"), TOKEN).alias("tokens"), _all(F.col("text"), WORD).alias("words"), lines.alias("lines"), F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"), model.column(docs.sparkSession).alias("weights"))
     n = F.size("words")
     windows = F.transform(F.slice("words", 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
     d = d.select(
         *row, "doc_id", n.cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"), "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), windows.alias("h"), _score(model).alias("score"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), windows.alias("h"), _score().alias("score"),
     )
     # equal windows side by side; only texts that have any are sorted
     repeats = F.size(F.array_distinct("h")) < F.size("h")

@@ -99,3 +99,12 @@ def test_documents_marked_by_chance_are_not_counted(spark, monkeypatch):
     want = quality.fit_quality(docs, labels)
     monkeypatch.setattr(shared, "FILTER_BITS", 64)
     assert quality.fit_quality(docs, labels) == want
+
+
+def test_plans_do_not_hold_the_weights(spark):
+    """Ten thousand numbers in a plan are megabytes of texts that the driver makes and keeps."""
+    docs = frame(spark, [(1, "some words here", "en", "s", 3), (2, None, "en", "s", 3)])
+    model = quality.QualityModel([0.1234567890123 * (k % 7 - 3) for k in range(quality.BUCKETS)], 0.0)
+    scored = quality.quality(docs, None, model=model)
+    assert [r.score for r in scored.orderBy("doc_id").collect()][1] == 0.0
+    assert len(scored._jdf.queryExecution().toString()) < 100_000
