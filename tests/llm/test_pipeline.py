@@ -89,3 +89,18 @@ def test_run(spark, folder):
     rows = e.queries()["pipeline"](spark, folder).collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "start", "n_tokens", "ids_crc32"}
     assert {f"op{n}_" for n in range(1, 11)} <= {k[: k.index("_") + 1] for k in e.queries() if k.startswith("op")}
+
+
+def test_the_driver_collects_between_stages(spark, folder, monkeypatch):
+    """A stage finds no heap that the plans of the stages before it have grown."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    collections = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    seen = []
+
+    def stage(spark, docs, folder):
+        seen.append(collections())
+        return docs.limit(5)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("stage", stage)] * 4)
+    assert corpus_pipeline.run(spark, folder).count() == 5
+    assert len(seen) == 4 and all(a < b for a, b in zip(seen, seen[1:]))
